@@ -27,6 +27,7 @@ from salesflow.operators.sinks import (
     overwrite_path_partitions,
     rebalance,
     save_table,
+    spread,
 )
 from salesflow.operators.transforms import clean_sales, with_date_parts, with_partition_values
 
@@ -55,6 +56,7 @@ __all__ = [
     "sales_aggregate",
     "save_table",
     "sort_rows",
+    "spread",
     "table_location",
     "use_database",
     "with_date_parts",

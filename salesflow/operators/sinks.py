@@ -1,10 +1,17 @@
 """Table and path writers (K1-K5).
 
-Partitioned writes can REBALANCE by the partition columns first: one shuffle so that
-each task writes few directories, with AQE splitting a partition that holds a hot value
-(no single task gets a third of the data) and merging small ones. Without it every task
-writes a file into every partition value it meets. Skip it when the input is already
-clustered by the partition columns (e.g. read from a table partitioned by them).
+How rows reach the writer tasks of a partitioned write (``distribute``):
+
+* ``"rebalance"`` (row-level data): one shuffle by the partition columns so each task
+  writes few directories. AQE sizes the tasks by bytes, splitting a partition that holds
+  a hot value (no single task gets a third of the data) and merging small ones.
+* ``"spread"`` (small results with many partition values, e.g. aggregates): hash by the
+  partition columns into ``spark.sql.shuffle.partitions`` tasks that AQE does not merge,
+  so thousands of one-file directories are written in parallel, not by one task.
+* ``"none"``: the input is already clustered by the partition columns (e.g. read from a
+  table partitioned by them); each task writes only the few directories it holds.
+
+Without any of these every task writes a file into every partition value it meets.
 """
 
 from __future__ import annotations
@@ -12,24 +19,56 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 DYNAMIC_OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
 
 
+DISTRIBUTIONS = ("rebalance", "spread", "none")
+
+
 def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Hash-distribute by ``cols`` for a partitioned write, splitting skewed partitions."""
     return df.hint("rebalance", *cols) if cols else df
 
 
+def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Hash-distribute a small result by its partition values over the shuffle width.
+
+    The key is a hash of the values, not the columns themselves: a repartition on the
+    same columns as a preceding aggregate is dropped by the planner, leaving the
+    aggregate's shuffle, which AQE merges into one task for a small result. A
+    repartition with a fixed count is never merged, and equal values share a task."""
+    if not cols:
+        return df
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(width, F.xxhash64(*cols))
+
+
+def distribute(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    if how not in DISTRIBUTIONS:
+        raise ValueError(f"distribute must be one of {DISTRIBUTIONS}, got {how!r}")
+    if how == "rebalance":
+        return rebalance(df, cols)
+    if how == "spread":
+        return spread(df, cols)
+    return df
+
+
 def _in_table_order(df: DataFrame, table: str) -> DataFrame:
     # INSERT is positional; select the table's columns by name so order never matters.
     return df.select(*df.sparkSession.table(table).columns)
 
 
-def insert_into(df: DataFrame, table: str, rebalance_by: Sequence[str] = ()) -> None:
+def _partition_columns(df: DataFrame, table: str) -> list[str]:
+    return [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
+
+
+def insert_into(df: DataFrame, table: str, distribute_by: str = "rebalance") -> None:
     """K1: append into an existing (partitioned) table; partition values come from the rows.
     Appending the same rows twice keeps both copies."""
-    _in_table_order(rebalance(df, rebalance_by), table).write.insertInto(table, overwrite=False)
+    spread_df = distribute(df, _partition_columns(df, table), distribute_by)
+    _in_table_order(spread_df, table).write.insertInto(table, overwrite=False)
 
 
 def save_table(
@@ -37,38 +76,40 @@ def save_table(
     table: str,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
-    rebalance_by: Sequence[str] | None = None,
+    distribute_by: str = "rebalance",
 ) -> None:
     """K2/K3/K4: write a managed Parquet table. With ``mode='overwrite'`` the whole table is
     replaced, including partitions absent from ``df`` (whatever partitionOverwriteMode says).
-    ``rebalance_by`` defaults to ``partition_by``; pass ``()`` for input already clustered."""
+    ``distribute_by`` picks how rows reach the writers (see the module notes); it only
+    applies to partitioned writes."""
     cols = list(partition_by)
-    spread = cols if rebalance_by is None else list(rebalance_by)
-    writer = rebalance(df, spread).write.mode(mode).format("parquet")
+    writer = distribute(df, cols, distribute_by).write.mode(mode).format("parquet")
     if cols:
         writer = writer.partitionBy(*cols)
     writer.saveAsTable(table)
 
 
-def overwrite_partitions(df: DataFrame, table: str, rebalance_by: Sequence[str] = ()) -> None:
+def overwrite_partitions(df: DataFrame, table: str, distribute_by: str = "rebalance") -> None:
     """K5: replace only the partitions present in ``df``; other partitions stay.
 
     ``insertInto`` honours only the session setting, so it is set for this write and restored."""
     spark = df.sparkSession
+    spread_df = _in_table_order(distribute(df, _partition_columns(df, table), distribute_by), table)
     previous = spark.conf.get(DYNAMIC_OVERWRITE_CONF)
     spark.conf.set(DYNAMIC_OVERWRITE_CONF, "dynamic")
     try:
-        _in_table_order(rebalance(df, rebalance_by), table).write.insertInto(table, overwrite=True)
+        spread_df.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(DYNAMIC_OVERWRITE_CONF, previous)
 
 
-def overwrite_path_partitions(df: DataFrame, path: str, partition_by: Sequence[str], rebalance_by: Sequence[str] | None = None) -> None:
+def overwrite_path_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], distribute_by: str = "rebalance"
+) -> None:
     """K5 for a path: the per-write option is honoured by path writes."""
     cols = list(partition_by)
-    spread = cols if rebalance_by is None else list(rebalance_by)
     (
-        rebalance(df, spread)
+        distribute(df, cols, distribute_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*cols)

@@ -16,6 +16,7 @@ def aggregate_sales(raw: DataFrame) -> DataFrame:
 def run_aggregate_job(raw: DataFrame, table: str) -> str:
     """L2 + K2: overwrite ``table`` with the aggregate, partitioned by category, year, month.
     Read back, the partition columns come last: total_amount, total_sales, avg_amount,
-    category, year, month."""
-    save_table(aggregate_sales(raw), table, partition_by=SALES_PARTITION_COLUMNS)
+    category, year, month. The aggregate has one row per partition value, so the rows are
+    spread over the shuffle width and the one-file directories are written in parallel."""
+    save_table(aggregate_sales(raw), table, partition_by=SALES_PARTITION_COLUMNS, distribute_by="spread")
     return table

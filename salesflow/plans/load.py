@@ -15,7 +15,6 @@ from salesflow.operators import (
     sort_rows,
     with_partition_values,
 )
-from salesflow.schema import SALES_PARTITION_COLUMNS
 from salesflow.sources import create_external_table, write_staging_file
 
 
@@ -46,17 +45,13 @@ def load_partitioned(
     create_database(spark, database)
     staging = create_external_table(spark, f"{database}.{staging_name}", staging_location, id_type)
     target = create_partitioned_sales_table(spark, f"{database}.{table_name}", id_type)
-    insert_into(with_partition_values(staging), target, rebalance_by=SALES_PARTITION_COLUMNS)
+    insert_into(with_partition_values(staging), target)
     return LoadedTables(database, f"{database}.{staging_name}", target, staging_location)
 
 
 def append_staging(spark: SparkSession, tables: LoadedTables) -> None:
     """K1 again: append the staging rows once more (no de-duplication)."""
-    insert_into(
-        with_partition_values(spark.table(tables.staging_table)),
-        tables.partitioned_table,
-        rebalance_by=SALES_PARTITION_COLUMNS,
-    )
+    insert_into(with_partition_values(spark.table(tables.staging_table)), tables.partitioned_table)
 
 
 def verify_load(spark: SparkSession, table: str) -> DataFrame:

@@ -227,7 +227,7 @@ def sales_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.sales_by_year"
     first = _by_year(spark, sf_dir)
     save_table(first, table, partition_by=("category", "year"))
-    overwrite_partitions(_rewrite(first), table, rebalance_by=("category", "year"))
+    overwrite_partitions(_rewrite(first), table)
     return read_table(spark, table)
 
 

@@ -31,6 +31,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # Listing many partition folders runs as a Spark job with one task per folder up to
+        # this cap; size it to the cores at hand (a cluster sizes it to its executors).
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * shuffle_partitions))
     )
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
