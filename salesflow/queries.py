@@ -47,6 +47,7 @@ from salesflow.plans import (
     verify_load,
 )
 from salesflow.session import scratch_database, scratch_location
+from salesflow.streaming import read_incremental_output, run_incremental_load
 from salesflow.sources import (
     ADAPTER_ID_TYPE,
     create_external_table,
@@ -201,6 +202,16 @@ def sales_partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_balance(read_table(spark, _loaded(spark, sf_dir).partitioned_table))
 
 
+def sales_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 as a stream: staging files loaded file by file into the partitioned layout, once each."""
+    staging = _staged(spark, sf_dir)
+    out = scratch_location(spark, "stream-out")
+    run_incremental_load(
+        spark, staging, out, scratch_location(spark, "stream-ckpt"), id_type=ADAPTER_ID_TYPE, files_per_batch=1
+    )
+    return read_incremental_output(spark, out, id_type=ADAPTER_ID_TYPE)
+
+
 # --- overwrite modes ---------------------------------------------------------
 
 
@@ -289,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "sales_partition_files": sales_partition_files,
     "sales_schema": sales_schema,
     "sales_partition_balance": sales_partition_balance,
+    "sales_stream_load": sales_stream_load,
     "sales_full_overwrite": sales_full_overwrite,
     "sales_dynamic_overwrite": sales_dynamic_overwrite,
     "sales_path_overwrite": sales_path_overwrite,

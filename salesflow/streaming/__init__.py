@@ -1,2 +1,6 @@
-"""Streaming. The reference has no streams; see ``incremental`` for the one place a
-stream is useful: running the partitioned load over staging files as they arrive."""
+"""Streaming. The reference has no streams; the one place a stream fits is running the
+partitioned load (L1) over staging files as they arrive, exactly once per file."""
+
+from salesflow.streaming.incremental import read_incremental_output, run_incremental_load, start_incremental_load
+
+__all__ = ["read_incremental_output", "run_incremental_load", "start_incremental_load"]
