@@ -45,7 +45,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 def shared_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set to a fresh temp folder only when unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the setting is all there is
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return (configured or tempfile.mkdtemp(prefix="salesflow-ckpt-")).rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
