@@ -18,6 +18,7 @@ from salesflow.operators.catalog import (
     partition_files,
     table_location,
     use_database,
+    using_database,
 )
 from salesflow.operators.inspect import column_names, describe_table, partition_balance
 from salesflow.operators.ordering import first_rows, sort_rows
@@ -59,6 +60,7 @@ __all__ = [
     "spread",
     "table_location",
     "use_database",
+    "using_database",
     "with_date_parts",
     "with_partition_values",
 ]

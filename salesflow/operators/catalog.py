@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,18 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
+@contextmanager
+def using_database(spark: SparkSession, name: str) -> Iterator[str]:
+    """C2 for a block of statements with unqualified names; the previous current
+    database is restored afterwards, so other work in the session is not affected."""
+    previous = spark.catalog.currentDatabase()
+    use_database(spark, name)
+    try:
+        yield name
+    finally:
+        use_database(spark, previous)
+
+
 def create_partitioned_sales_table(spark: SparkSession, table: str, id_type: str = "int") -> str:
     """Parquet table with the four data columns and STRING partition columns
     ``category, year, month``, unless it exists."""

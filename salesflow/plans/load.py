@@ -13,6 +13,7 @@ from salesflow.operators import (
     list_partitions,
     partition_revenue,
     sort_rows,
+    using_database,
     with_partition_values,
 )
 from salesflow.sources import create_external_table, write_staging_file
@@ -39,14 +40,16 @@ def load_partitioned(
     staging_name: str = "sales_staging",
     table_name: str = "sales_partitioned",
 ) -> LoadedTables:
-    """Create the database, an external staging table over the files, the
-    partitioned table, then append every staging row into its (category, year, month)
-    partition. Running it twice appends the rows twice, as the reference does."""
+    """Create the database and, inside it (unqualified names, as with
+    ``USE``), an external staging table over the files and the partitioned table; then
+    append every staging row into its (category, year, month) partition. Running it
+    twice appends the rows twice, as the reference does."""
     create_database(spark, database)
-    staging = create_external_table(spark, f"{database}.{staging_name}", staging_location, id_type)
-    target = create_partitioned_sales_table(spark, f"{database}.{table_name}", id_type)
-    insert_into(with_partition_values(staging), target)
-    return LoadedTables(database, f"{database}.{staging_name}", target, staging_location)
+    with using_database(spark, database):
+        staging = create_external_table(spark, staging_name, staging_location, id_type)
+        create_partitioned_sales_table(spark, table_name, id_type)
+        insert_into(with_partition_values(staging), table_name)
+    return LoadedTables(database, f"{database}.{staging_name}", f"{database}.{table_name}", staging_location)
 
 
 def append_staging(spark: SparkSession, tables: LoadedTables) -> None:

@@ -10,6 +10,7 @@ glob), so only committed files are seen.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -24,17 +25,22 @@ def start_incremental_load(
     checkpoint_location: str,
     id_type: str = "int",
     files_per_batch: int | None = None,
+    writers_per_value: int = 4,
 ) -> StreamingQuery:
     """Load every staging file not yet loaded, then stop (``availableNow``).
 
-    ``files_per_batch`` bounds each micro-batch, which bounds what one writer task can get
-    even when one partition value holds a large share of the rows."""
+    AQE does not re-plan micro-batches, so skew is handled here: rows go to writers by
+    partition value plus a salt of ``writers_per_value`` buckets, so a value holding a
+    third of a batch is written by several tasks. The salt is a hash of the row, not a
+    random number, so a retried task sends every row to the same writer.
+    ``files_per_batch`` bounds the size of each micro-batch."""
     reader = spark.readStream.schema(raw_sales_schema(id_type))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = with_partition_values(reader.parquet(staging_dir))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(writers_per_value))
     return (
-        rows.repartition(*SALES_PARTITION_COLUMNS)
+        rows.repartition(*SALES_PARTITION_COLUMNS, salt)
         .writeStream.format("parquet")
         .partitionBy(*SALES_PARTITION_COLUMNS)
         .option("path", output_root)
@@ -52,9 +58,12 @@ def run_incremental_load(
     checkpoint_location: str,
     id_type: str = "int",
     files_per_batch: int | None = None,
+    writers_per_value: int = 4,
 ) -> None:
     """Start the load and wait until the files present at the start are loaded."""
-    query = start_incremental_load(spark, staging_dir, output_root, checkpoint_location, id_type, files_per_batch)
+    query = start_incremental_load(
+        spark, staging_dir, output_root, checkpoint_location, id_type, files_per_batch, writers_per_value
+    )
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

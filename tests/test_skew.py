@@ -49,3 +49,19 @@ def test_hot_partition_is_split_and_complete(spark):
     want = {(r.category, r.year, r.month): r.cnt for r in partition_revenue(with_partition_values(src)).collect()}
     assert got == want
     assert sum(got.values()) == 400_000
+
+
+def test_spread_keeps_small_aggregate_on_many_writers(spark):
+    from salesflow.operators import sales_aggregate, spread, with_date_parts
+    from salesflow.schema import SALES_PARTITION_COLUMNS
+
+    agg = sales_aggregate(with_date_parts(with_partition_values(_skewed_sales(spark, 50_000)).drop("year", "month")))
+
+    def writers(df):
+        return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+    # The planner drops a repartition on the aggregate's own keys and AQE merges the small
+    # aggregate into one task; spreading by a hash of the values keeps the writers apart.
+    assert writers(agg.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *SALES_PARTITION_COLUMNS)) == 1
+    assert writers(spread(agg, SALES_PARTITION_COLUMNS)) > 1
+    assert spread(agg, SALES_PARTITION_COLUMNS).count() == agg.count()
