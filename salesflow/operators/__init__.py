@@ -15,6 +15,7 @@ from salesflow.operators.catalog import (
     create_partitioned_sales_table,
     list_partitions,
     list_tables,
+    partition_columns,
     partition_files,
     table_location,
     use_database,
@@ -50,6 +51,7 @@ __all__ = [
     "overwrite_partitions",
     "overwrite_path_partitions",
     "partition_balance",
+    "partition_columns",
     "partition_files",
     "partition_revenue",
     "rebalance",

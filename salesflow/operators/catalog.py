@@ -50,6 +50,11 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    """Names of a table's partition columns, from the catalog."""
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """Tables of a database (``namespace, tableName, isTemporary``)."""
     return spark.sql(f"SHOW TABLES IN {database}")

@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.operators.catalog import partition_columns
+
 DYNAMIC_OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -60,14 +62,10 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
     return df.select(*df.sparkSession.table(table).columns)
 
 
-def _partition_columns(df: DataFrame, table: str) -> list[str]:
-    return [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
-
-
 def insert_into(df: DataFrame, table: str, distribute_by: str = "rebalance") -> None:
     """K1: append into an existing (partitioned) table; partition values come from the rows.
     Appending the same rows twice keeps both copies."""
-    spread_df = distribute(df, _partition_columns(df, table), distribute_by)
+    spread_df = distribute(df, partition_columns(df.sparkSession, table), distribute_by)
     _in_table_order(spread_df, table).write.insertInto(table, overwrite=False)
 
 
@@ -94,7 +92,7 @@ def overwrite_partitions(df: DataFrame, table: str, distribute_by: str = "rebala
 
     ``insertInto`` honours only the session setting, so it is set for this write and restored."""
     spark = df.sparkSession
-    spread_df = _in_table_order(distribute(df, _partition_columns(df, table), distribute_by), table)
+    spread_df = _in_table_order(distribute(df, partition_columns(spark, table), distribute_by), table)
     previous = spark.conf.get(DYNAMIC_OVERWRITE_CONF)
     spark.conf.set(DYNAMIC_OVERWRITE_CONF, "dynamic")
     try:

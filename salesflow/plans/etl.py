@@ -22,6 +22,7 @@ from salesflow.sources import read_partitioned
 
 @dataclass(frozen=True)
 class EtlTables:
+    database: str
     transformed: str
     by_category: str
     by_month: str
@@ -49,6 +50,7 @@ def load(spark: SparkSession, transformed: DataFrame, database: str) -> EtlTable
     """
     create_database(spark, database)
     tables = EtlTables(
+        database,
         f"{database}.sales_transformed",
         f"{database}.sales_by_category",
         f"{database}.sales_by_month",

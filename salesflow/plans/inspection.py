@@ -12,6 +12,7 @@ from salesflow.operators import (
     first_rows,
     list_partitions,
     partition_balance,
+    partition_columns,
     row_count,
 )
 from salesflow.sources import read_table
@@ -31,7 +32,7 @@ class TableReport:
 def inspect_table(spark: SparkSession, table: str, sample_size: int = 3) -> TableReport:
     """S6, G5, I1-I4, O3. All parts are lazy DataFrames except the column names."""
     df = read_table(spark, table)
-    partitioned = bool(_partition_columns(spark, table))
+    partitioned = bool(partition_columns(spark, table))
     return TableReport(
         table=table,
         columns=column_names(df),
@@ -41,7 +42,3 @@ def inspect_table(spark: SparkSession, table: str, sample_size: int = 3) -> Tabl
         balance=partition_balance(df),
         sample=first_rows(df, sample_size, order_by=df.columns),
     )
-
-
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]

@@ -272,10 +272,12 @@ def sales_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C5 + G5: every table of the ETL database with its row count. The loop runs over
     catalog entries (a handful of names); each count is a Spark job."""
-    tables = _etl(spark, sf_dir)
-    database = tables.transformed.split(".")[0]
+    database = _etl(spark, sf_dir).database
     names = sorted(r.tableName for r in list_tables(spark, database).select("tableName").collect())
-    counts = [row_count(read_table(spark, f"{database}.{n}")).select(F.lit(n).alias("table_name"), "row_count") for n in names]
+    counts = [
+        row_count(read_table(spark, f"{database}.{n}")).select(F.lit(n).alias("table_name"), "row_count")
+        for n in names
+    ]
     out = counts[0]
     for more in counts[1:]:
         out = out.unionByName(more)
