@@ -6,8 +6,8 @@ How rows reach the writer tasks of a partitioned write (``distribute``):
   writes few directories. AQE sizes the tasks by bytes, splitting a partition that holds
   a hot value (no single task gets a third of the data) and merging small ones.
 * ``"spread"`` (small results with many partition values, e.g. aggregates): hash by the
-  partition columns into ``spark.sql.shuffle.partitions`` tasks that AQE does not merge,
-  so thousands of one-file directories are written in parallel, not by one task.
+  partition values into one task per core (at most the shuffle width) that AQE does not
+  merge, so thousands of one-file directories are written in parallel, not by one task.
 * ``"none"``: the input is already clustered by the partition columns (e.g. read from a
   table partitioned by them); each task writes only the few directories it holds.
 
@@ -34,8 +34,19 @@ def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df
 
 
+def writer_width(spark) -> int:
+    """Writer tasks for a small result: one per core, at most the shuffle width. More
+    writers than cores only queue."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect has no SparkContext
+        return width
+    return max(1, min(width, cores))
+
+
 def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Hash-distribute a small result by its partition values over the shuffle width.
+    """Hash-distribute a small result by its partition values over ``writer_width`` tasks.
 
     The key is a hash of the values, not the columns themselves: a repartition on the
     same columns as a preceding aggregate is dropped by the planner, leaving the
@@ -43,8 +54,7 @@ def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     repartition with a fixed count is never merged, and equal values share a task."""
     if not cols:
         return df
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(width, F.xxhash64(*cols))
+    return df.repartition(writer_width(df.sparkSession), F.xxhash64(*cols))
 
 
 def distribute(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
