@@ -91,3 +91,15 @@ def test_partitioned_read_types(spark, fixture_a):
 def test_wildcard_without_match_fails(spark):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_partitioned(spark, scratch_location(spark, "empty")).collect()
+
+
+def test_write_option_is_ignored_by_insert_into(spark):
+    """Why overwrite_partitions sets the session setting: the per-write option does not
+    reach insertInto, so the other partition is lost."""
+    first, second = _two_batches(spark)
+    table = f"{scratch_database(spark)}.t"
+    save_table(first, table, partition_by=("category", "year", "month"))
+    second.select(*spark.table(table).columns).write.option("partitionOverwriteMode", "dynamic").insertInto(
+        table, overwrite=True
+    )
+    assert sorted((r.category, r.id) for r in spark.table(table).collect()) == [("B", 3)]
