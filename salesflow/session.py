@@ -43,18 +43,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def _local_fallback(spark: SparkSession) -> str:
+    """A temp folder when no shared folder is configured: only for local sessions (tests),
+    since executors on other machines could not see it."""
+    master = spark.conf.get("spark.master", "") or ""
+    if not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
+    return tempfile.mkdtemp(prefix="salesflow-ckpt-")
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set to a fresh temp folder only when unset."""
+    """The shared checkpoint folder of the session; set only when unset, in local sessions."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext, the setting is all there is
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return (configured or tempfile.mkdtemp(prefix="salesflow-ckpt-")).rstrip("/")
+        return (configured or _local_fallback(spark)).rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="salesflow-ckpt-"))
+    sc.setCheckpointDir(configured or _local_fallback(spark))
     return sc.getCheckpointDir().rstrip("/")
 
 
