@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     agg = sub.add_parser("aggregate", help="L2: aggregate table by category, year, month")
     agg.add_argument("--staging", required=True, help="folder of staging Parquet files")
     agg.add_argument("--table", default="default.sales_aggregated")
+    agg.add_argument("--overwrite", choices=["table", "partitions"], default="table")
 
     etl = sub.add_parser("etl", help="L3: transformed, by-category and by-month tables")
     etl.add_argument("--source", required=True, help="root of the category=/year=/month= folders")
@@ -64,7 +65,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         return {"tables": tables}
     if args.job == "aggregate":
         raw = spark.read.schema(raw_sales_schema(args.id_type)).parquet(args.staging)
-        table = run_aggregate_job(raw, args.table)
+        table = run_aggregate_job(raw, args.table, overwrite=args.overwrite)
         spark.table(table).show()
         return {"table": table}
     if args.job == "etl":

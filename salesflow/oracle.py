@@ -84,6 +84,9 @@ ORACLE_SQL: dict[str, str] = {
     "sales_aggregated": _with(_SALES, _PARTS)
     + f"SELECT {_r2('sum(amount)')} AS total_amount, count(id) AS total_sales, {_r2('avg(amount)')} AS avg_amount, "
     "category, year, month FROM parts GROUP BY category, year, month",
+    "sales_aggregated_rerun": _with(_SALES, _PARTS)
+    + f"SELECT {_r2('sum(amount)')} AS total_amount, count(id) AS total_sales, {_r2('avg(amount)')} AS avg_amount, "
+    "category, year, month FROM parts GROUP BY category, year, month",
     "sales_partitioned_load": _with(_SALES, _PARTS) + "SELECT * FROM parts",
     "sales_stream_load": _with(_SALES, _PARTS) + "SELECT * FROM parts",
     "sales_partition_revenue": _with(_SALES, _PARTS)

@@ -161,6 +161,19 @@ def sales_aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_aggregated_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 with ``overwrite="partitions"``: a re-run over the rows from REWRITE_FROM_YEAR on
+    replaces those partitions only; the earlier ones stay."""
+    table = f"{scratch_database(spark)}.sales_aggregated"
+    rows = sales(spark, sf_dir)
+    run_aggregate_job(rows, table, overwrite="partitions")
+    later = rows.where(F.substring("sale_date", 1, 4) >= REWRITE_FROM_YEAR)
+    run_aggregate_job(later, table, overwrite="partitions")
+    return read_table(spark, table).withColumns(
+        {"total_amount": round_money("total_amount"), "avg_amount": round_money("avg_amount")}
+    )
+
+
 # --- partitioned load (L1) -------------------------------------------------
 
 
@@ -295,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "sales_count": sales_count,
     "sales_sample": sales_sample,
     "sales_aggregated": sales_aggregated,
+    "sales_aggregated_rerun": sales_aggregated_rerun,
     "sales_partitioned_load": sales_partitioned_load,
     "sales_partition_revenue": sales_partition_revenue,
     "sales_append_twice": sales_append_twice,

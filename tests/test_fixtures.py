@@ -98,3 +98,21 @@ def test_etl(spark, fixture_a):
     ]
     month_parts = sorted(r[0] for r in list_partitions(spark, tables.by_month).collect())
     assert month_parts == ["year=2024/month=1", "year=2024/month=2", "year=2024/month=3"]
+
+
+def test_aggregate_job_partition_overwrite(spark, fixture_b):
+    from salesflow.sources import sales_from_rows
+
+    table = f"{scratch_database(spark)}.sales_aggregated"
+    run_aggregate_job(fixture_b, table, overwrite="partitions")
+    rerun = sales_from_rows(spark, [(7, "2024-02-11", "scarf", 10.0, "clothing")])
+    run_aggregate_job(rerun, table, overwrite="partitions")
+    got = {(r.category, r.month): (r.total_amount, r.total_sales) for r in spark.table(table).collect()}
+    assert got == {
+        ("electronics", "01"): (2000.0, 2),
+        ("clothing", "02"): (10.0, 1),
+        ("clothing", "03"): (120.0, 1),
+        ("electronics", "03"): (600.0, 1),
+    }
+    run_aggregate_job(rerun, table)
+    assert spark.table(table).count() == 1
