@@ -37,7 +37,7 @@ def _parser() -> argparse.ArgumentParser:
 
     load = sub.add_parser("load", help="L1: partitioned load from a staging folder")
     load.add_argument("--staging", required=True, help="folder of staging Parquet files")
-    load.add_argument("--database", default="shop")
+    load.add_argument("--database", default="sales")
 
     agg = sub.add_parser("aggregate", help="L2: aggregate table by category, year, month")
     agg.add_argument("--staging", required=True, help="folder of staging Parquet files")
@@ -46,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
 
     etl = sub.add_parser("etl", help="L3: transformed, by-category and by-month tables")
     etl.add_argument("--source", required=True, help="root of the category=/year=/month= folders")
-    etl.add_argument("--database", default="prefect_demo")
+    etl.add_argument("--database", default="sales_etl")
     etl.add_argument("--premium-from", type=float, default=PREMIUM_FROM)
     etl.add_argument("--mid-from", type=float, default=MID_FROM)
 
