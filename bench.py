@@ -29,7 +29,10 @@ from salesflow.session import build_session, scratch_database, scratch_location
 from salesflow.sources import ADAPTER_ID_TYPE, read_partitioned, sales_from_tpch  # noqa: E402
 
 
-WARMUP_DIR = "/root/testdata/sf0.001"
+def warmup_dir(sf_dir: str) -> str:
+    """The smallest tables next to the bench tables, or the bench tables themselves."""
+    sibling = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    return sibling if os.path.exists(os.path.join(sibling, "lineitem.parquet")) else sf_dir
 
 
 def _noop(df) -> None:
@@ -85,7 +88,7 @@ def main() -> None:
 
     # Warm-up: every job once on the smallest tables (JIT, class loading), not counted.
     t0 = time.time()
-    run_jobs(spark, WARMUP_DIR)
+    run_jobs(spark, warmup_dir(sf_dir))
     warmup = time.time() - t0
 
     times = run_jobs(spark, sf_dir)
