@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from salesflow.operators.catalog import partition_columns
 
 DYNAMIC_OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
-
-
 DISTRIBUTIONS = ("rebalance", "spread", "none")
 
 
@@ -58,6 +56,7 @@ def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def distribute(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Apply one of ``DISTRIBUTIONS`` for a write partitioned by ``cols``."""
     if how not in DISTRIBUTIONS:
         raise ValueError(f"distribute must be one of {DISTRIBUTIONS}, got {how!r}")
     if how == "rebalance":
@@ -75,8 +74,8 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
 def insert_into(df: DataFrame, table: str, distribute_by: str = "rebalance") -> None:
     """K1: append into an existing (partitioned) table; partition values come from the rows.
     Appending the same rows twice keeps both copies."""
-    spread_df = distribute(df, partition_columns(df.sparkSession, table), distribute_by)
-    _in_table_order(spread_df, table).write.insertInto(table, overwrite=False)
+    rows = distribute(df, partition_columns(df.sparkSession, table), distribute_by)
+    _in_table_order(rows, table).write.insertInto(table, overwrite=False)
 
 
 def save_table(
@@ -102,11 +101,11 @@ def overwrite_partitions(df: DataFrame, table: str, distribute_by: str = "rebala
 
     ``insertInto`` honours only the session setting, so it is set for this write and restored."""
     spark = df.sparkSession
-    spread_df = _in_table_order(distribute(df, partition_columns(spark, table), distribute_by), table)
+    rows = _in_table_order(distribute(df, partition_columns(spark, table), distribute_by), table)
     previous = spark.conf.get(DYNAMIC_OVERWRITE_CONF)
     spark.conf.set(DYNAMIC_OVERWRITE_CONF, "dynamic")
     try:
-        spread_df.write.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(DYNAMIC_OVERWRITE_CONF, previous)
 

@@ -46,7 +46,7 @@ def load(spark: SparkSession, transformed: DataFrame, database: str) -> EtlTable
     * Both summaries come from one set of per-(year, month, category) totals, so the
       source is scanned once for both. The totals have one row per group and are
       checkpointed to the shared checkpoint folder, cutting lineage before two writes.
-      The monthly table has one row per partition value: spread over the shuffle width.
+      The monthly table has one row per partition value: spread over writer tasks.
     """
     create_database(spark, database)
     tables = EtlTables(
@@ -56,7 +56,7 @@ def load(spark: SparkSession, transformed: DataFrame, database: str) -> EtlTable
         f"{database}.sales_by_month",
     )
     save_table(transformed, tables.transformed, partition_by=TRANSFORMED_PARTITION_COLUMNS, distribute_by="none")
-    shared_root(spark)
+    shared_root(spark)  # checkpoint() needs the session's checkpoint folder to be set
     totals = monthly_totals(transformed).checkpoint(eager=True)
     save_table(category_summary_from_totals(totals), tables.by_category)
     save_table(
