@@ -42,3 +42,9 @@ def test_partition_files_and_tables(spark, fixture_a):
     }
     names = sorted(r.tableName for r in list_tables(spark, tables.database).collect())
     assert names == ["sales_partitioned", "sales_staging"]
+
+
+def test_staging_listing_without_partitions(spark, fixture_a):
+    tables = _loaded(spark, fixture_a)
+    listing = partition_files(spark.table(tables.staging_table), ()).collect()
+    assert len(listing) == 1 and listing[0].files >= 1 and listing[0].rows == 6 and listing[0].bytes > 0
