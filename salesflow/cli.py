@@ -77,6 +77,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         return {"tables": tables}
     report = inspect_table(spark, args.table, sample_size=args.sample)
     report.row_count.show()
+    print(report.schema_tree)
     report.schema.show(truncate=False)
     if report.partitions is not None:
         report.partitions.show(truncate=False)

@@ -21,7 +21,7 @@ from salesflow.operators.catalog import (
     use_database,
     using_database,
 )
-from salesflow.operators.inspect import column_names, describe_table, partition_balance
+from salesflow.operators.inspect import column_names, describe_table, partition_balance, schema_text
 from salesflow.operators.ordering import first_rows, sort_rows
 from salesflow.operators.sinks import (
     insert_into,
@@ -58,6 +58,7 @@ __all__ = [
     "row_count",
     "sales_aggregate",
     "save_table",
+    "schema_text",
     "sort_rows",
     "spread",
     "table_location",

@@ -12,6 +12,11 @@ def column_names(df: DataFrame) -> list[str]:
     return df.columns
 
 
+def schema_text(df: DataFrame) -> str:
+    """I2 as ``printSchema`` prints it (a tree of names, types, nullability), from the schema."""
+    return df.schema.treeString()
+
+
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
     """``col_name, data_type, comment`` per column, then the partition columns again
     under '# Partition Information' (``DESCRIBE TABLE``)."""

@@ -14,6 +14,7 @@ from salesflow.operators import (
     partition_balance,
     partition_columns,
     row_count,
+    schema_text,
 )
 from salesflow.sources import read_table
 
@@ -22,6 +23,7 @@ from salesflow.sources import read_table
 class TableReport:
     table: str
     columns: list[str]
+    schema_tree: str
     row_count: DataFrame
     schema: DataFrame
     partitions: DataFrame | None
@@ -39,6 +41,7 @@ def inspect_table(spark: SparkSession, table: str, sample_size: int = 3, ordered
     return TableReport(
         table=table,
         columns=column_names(df),
+        schema_tree=schema_text(df),
         row_count=row_count(df),
         schema=describe_table(spark, table),
         partitions=list_partitions(spark, table) if partitioned else None,

@@ -14,6 +14,7 @@ def test_inspect_partitioned_table(spark, fixture_a):
     report = inspect_table(spark, tables.partitioned_table)
     assert report.row_count.first().row_count == 6
     assert report.columns == ["id", "sale_date", "product", "amount", "category", "year", "month"]
+    assert " |-- id: integer (nullable = true)" in report.schema_tree
     described = [(r.col_name, r.data_type) for r in report.schema.collect()]
     assert ("id", "int") in described and ("month", "string") in described
     assert report.partitions.count() == 4
