@@ -6,8 +6,8 @@ How rows reach the writer tasks of a partitioned write (``distribute``):
   writes few directories. AQE sizes the tasks by bytes, splitting a partition that holds
   a hot value (no single task gets a third of the data) and merging small ones.
 * ``"spread"`` (small results with many partition values, e.g. aggregates): hash by the
-  partition values into one task per core (at most the shuffle width) that AQE does not
-  merge, so thousands of one-file directories are written in parallel, not by one task.
+  partition values into ``writer_width`` tasks that AQE does not merge, so thousands of
+  one-file directories are written in parallel, not by one task.
 * ``"none"``: the input is already clustered by the partition columns (e.g. read from a
   table partitioned by them); each task writes only the few directories it holds.
 
@@ -32,14 +32,23 @@ def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df
 
 
+# Floor of the writer count on a cluster (Spark's default shuffle width): with dynamic
+# allocation the registered core count can be tiny while executors are still starting.
+MIN_CLUSTER_WRITERS = 200
+
+
 def writer_width(spark) -> int:
-    """Writer tasks for a small result: one per core, at most the shuffle width. More
-    writers than cores only queue."""
+    """Writer tasks for a small result with many partition values: one per registered core,
+    at most the shuffle width. In local mode the core count is exact; on a cluster it has a
+    floor of ``MIN_CLUSTER_WRITERS``. Never more writers than cores plus that floor, so a
+    large shuffle width does not schedule thousands of empty tasks."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # Spark Connect has no SparkContext
-        return width
+        return max(1, width)
+    if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+        cores = max(cores, MIN_CLUSTER_WRITERS)
     return max(1, min(width, cores))
 
 

@@ -31,3 +31,16 @@ def test_scratch_under_shared_root(spark):
     root = shared_root(spark)
     a, b = scratch_location(spark, "x"), scratch_location(spark, "x")
     assert a.startswith(root + "/salesflow/") and a != b
+
+
+def test_writer_width_bounds(spark):
+    from salesflow.operators.sinks import writer_width
+
+    cores = spark.sparkContext.defaultParallelism
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert writer_width(spark) == max(1, min(shuffle, cores))
+    spark.conf.set("spark.sql.shuffle.partitions", "100000")
+    try:
+        assert writer_width(spark) == cores
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle))
