@@ -103,3 +103,27 @@ def test_summaries_match_brute_force(spark, rows):
     for summary in (monthly_summary(df), monthly_summary_from_totals(monthly_totals(df))):
         got = {(r.year, r.month, r.category): (r.total_sales, r.total_revenue, r.avg_amount) for r in summary.collect()}
         assert got == by_month
+
+
+def lenient_date(s):
+    m = re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2})", s or "")
+    if not m:
+        return None
+    try:
+        return dt.date(int(m[1]), int(m[2]), int(m[3]))
+    except ValueError:
+        return None
+
+
+@SETTINGS
+@given(st.lists(dates, min_size=1, max_size=25))
+def test_partition_values_match_brute_force(spark, raw_dates):
+    from salesflow.operators import with_partition_values
+
+    data = [(i, d, "p", 1.0, "c") for i, d in enumerate(raw_dates)]
+    got = [(r.id, r.year, r.month) for r in with_partition_values(sales_from_rows(spark, data)).orderBy("id").collect()]
+    want = []
+    for i, d, *_ in data:
+        parsed = lenient_date(d) if d not in ("2024-01-15 10:00:00",) else dt.date(2024, 1, 15)
+        want.append((i, f"{parsed.year}" if parsed else None, f"{parsed.month:02d}" if parsed else None))
+    assert got == want
