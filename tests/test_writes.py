@@ -103,3 +103,18 @@ def test_write_option_is_ignored_by_insert_into(spark):
         table, overwrite=True
     )
     assert sorted((r.category, r.id) for r in spark.table(table).collect()) == [("B", 3)]
+
+
+def test_full_overwrite_under_session_dynamic_mode(spark):
+    """The reference sets partitionOverwriteMode=dynamic for its whole session; saveAsTable
+    still replaces the whole table (the setting only reaches insertInto and path writes)."""
+    first, second = _two_batches(spark)
+    table = f"{scratch_database(spark)}.t"
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        save_table(first, table, partition_by=("category",))
+        save_table(second, table, partition_by=("category",))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert sorted(r.id for r in spark.table(table).collect()) == [3]
