@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--database", default="sales_etl")
     etl.add_argument("--premium-from", type=float, default=PREMIUM_FROM)
     etl.add_argument("--mid-from", type=float, default=MID_FROM)
+    etl.add_argument("--discover", action="store_true", help="read the root by partition discovery, not the wildcard")
 
     ins = sub.add_parser("inspect", help="L4: count, schema, partitions, sample")
     ins.add_argument("--table", required=True)
@@ -70,7 +71,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         return {"table": table}
     if args.job == "etl":
         tables = run_etl(
-            spark, args.source, args.database, id_type=args.id_type, premium_from=args.premium_from, mid_from=args.mid_from
+            spark,
+            args.source,
+            args.database,
+            id_type=args.id_type,
+            premium_from=args.premium_from,
+            mid_from=args.mid_from,
+            discover=args.discover,
         )
         category_report(spark, tables).show()
         monthly_report(spark, tables).show()

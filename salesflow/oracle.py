@@ -73,6 +73,8 @@ ORACLE_SQL: dict[str, str] = {
     "sales_partition_scan": _with(_SALES)
     + f"SELECT id, sale_date, product, amount, category, {_YEAR_INT} AS year, {_MONTH_INT} AS month FROM sales",
     "sales_partition_scan_text": _with(_SALES, _PARTS) + "SELECT * FROM parts",
+    "sales_partition_discovery": _with(_SALES)
+    + f"SELECT id, sale_date, product, amount, category, {_YEAR_INT} AS year, {_MONTH_INT} AS month FROM sales",
     "sales_table_count": _with(_SALES) + "SELECT count(*) AS row_count FROM sales",
     "sales_date_parts": _with(_SALES)
     + f"SELECT id, {_DATE} AS sale_date, product, amount, category, {_YEAR_TEXT} AS year, {_MONTH_TEXT} AS month FROM sales",

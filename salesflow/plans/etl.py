@@ -18,6 +18,7 @@ from salesflow.operators import (
 from salesflow.schema import MID_FROM, MONTHLY_PARTITION_COLUMNS, PREMIUM_FROM, TRANSFORMED_PARTITION_COLUMNS
 from salesflow.session import shared_root
 from salesflow.sources import read_partitioned
+from salesflow.sources.files import PARTITION_PATTERN
 
 
 @dataclass(frozen=True)
@@ -28,9 +29,12 @@ class EtlTables:
     by_month: str
 
 
-def extract(spark: SparkSession, source_root: str, id_type: str = "int") -> DataFrame:
-    """The partitioned sales files with inferred (INT) year and month. Lazy: no count or show."""
-    return read_partitioned(spark, source_root, id_type=id_type, infer_partition_types=True)
+def extract(spark: SparkSession, source_root: str, id_type: str = "int", discover: bool = False) -> DataFrame:
+    """The partitioned sales files with inferred (INT) year and month. Lazy: no count or show.
+    ``discover`` reads the root by partition discovery instead of the wildcard (see
+    ``read_partitioned``)."""
+    pattern = None if discover else PARTITION_PATTERN
+    return read_partitioned(spark, source_root, id_type=id_type, infer_partition_types=True, pattern=pattern)
 
 
 def transform(df: DataFrame, premium_from: float = PREMIUM_FROM, mid_from: float = MID_FROM) -> DataFrame:
@@ -75,9 +79,11 @@ def run_etl(
     id_type: str = "int",
     premium_from: float = PREMIUM_FROM,
     mid_from: float = MID_FROM,
+    discover: bool = False,
 ) -> EtlTables:
     """L3: extract, transform, load, in strict sequence."""
-    return load(spark, transform(extract(spark, source_root, id_type), premium_from, mid_from), database)
+    rows = extract(spark, source_root, id_type, discover=discover)
+    return load(spark, transform(rows, premium_from, mid_from), database)
 
 
 def category_report(spark: SparkSession, tables: EtlTables) -> DataFrame:

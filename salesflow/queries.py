@@ -125,6 +125,13 @@ def sales_partition_scan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE, infer_partition_types=False)
 
 
+def sales_partition_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 by partition discovery of the root (no wildcard): the same rows and types."""
+    loaded = _loaded(spark, sf_dir)
+    root = table_location(spark, loaded.partitioned_table)
+    return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE, infer_partition_types=True, pattern=None)
+
+
 def sales_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of the loaded table through the catalog reader."""
     return row_count(read_table(spark, _loaded(spark, sf_dir).partitioned_table))
@@ -302,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "sales_external_table": sales_external_table,
     "sales_partition_scan": sales_partition_scan,
     "sales_partition_scan_text": sales_partition_scan_text,
+    "sales_partition_discovery": sales_partition_discovery,
     "sales_table_count": sales_table_count,
     "sales_date_parts": sales_date_parts,
     "sales_clean": sales_clean,

@@ -23,20 +23,29 @@ def write_staging_file(df: DataFrame, path: str, id_type: str = "int") -> str:
     return path
 
 
+PARTITION_PATTERN = "category=*/year=*/month=*/"
+
+
 def read_partitioned(
     spark: SparkSession,
     root: str,
     id_type: str = "int",
     infer_partition_types: bool = True,
-    pattern: str = "category=*/year=*/month=*/",
+    pattern: str | None = PARTITION_PATTERN,
 ) -> DataFrame:
     """Read ``root/category=*/year=*/month=*/`` with the declared file schema.
 
     ``basePath`` makes Spark add ``category, year, month`` from the directory names.
     With ``infer_partition_types`` (the reference's behaviour) year and month come back
     as INT, so '01' reads as 1. Otherwise they are declared STRING and keep their padding.
-    A pattern without any match raises PATH_NOT_FOUND."""
+    A pattern without any match raises PATH_NOT_FOUND.
+
+    The wildcard is expanded on the driver, one folder level after another. With
+    ``pattern=None`` the root itself is read and Spark's partition discovery lists every
+    level that has many folders as a parallel job: the choice for very many partitions
+    on an object store (all folders under the root must then be partition folders)."""
     schema = sales_file_schema(id_type)
     if not infer_partition_types:
         schema = StructType(schema.fields + [StructField(c, StringType(), True) for c in SALES_PARTITION_COLUMNS])
-    return spark.read.option("basePath", root).schema(schema).parquet(f"{root.rstrip('/')}/{pattern}")
+    base = root.rstrip("/")
+    return spark.read.option("basePath", base).schema(schema).parquet(f"{base}/{pattern}" if pattern else base)

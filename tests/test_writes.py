@@ -84,6 +84,8 @@ def test_partitioned_read_types(spark, fixture_a):
     text = read_partitioned(spark, root, infer_partition_types=False)
     assert dict(inferred.dtypes)["month"] == "int" and {r.month for r in inferred.collect()} == {1, 2, 3}
     assert dict(text.dtypes)["month"] == "string" and {r.month for r in text.collect()} == {"01", "02", "03"}
+    discovered = read_partitioned(spark, root, pattern=None)
+    assert sorted(map(tuple, discovered.collect())) == sorted(map(tuple, inferred.collect()))
     # Without basePath the partition columns are not added.
     assert spark.read.parquet(f"{root}/category=*/year=*/month=*/").columns == ["id", "sale_date", "product", "amount"]
 
