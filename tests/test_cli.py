@@ -18,6 +18,10 @@ def test_cli_jobs(spark, fixture_a, capsys):
     etl = main(["etl", "--source", table_location(spark, loaded.partitioned_table), "--database", f"{db}_etl"])["tables"]
     assert [r.category for r in spark.table(etl.by_category).orderBy("category").collect()] == ["electronics", "furniture"]
 
+    root = table_location(spark, loaded.partitioned_table)
+    found = main(["etl", "--source", root, "--database", f"{db}_found", "--discover"])["tables"]
+    assert spark.table(found.transformed).count() == 6
+
     report = main(["inspect", "--table", loaded.partitioned_table])["report"]
     assert report.row_count.first().row_count == 6
     out = capsys.readouterr().out
