@@ -120,3 +120,13 @@ def test_full_overwrite_under_session_dynamic_mode(spark):
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     assert sorted(r.id for r in spark.table(table).collect()) == [3]
+
+
+def test_dropping_external_staging_table_keeps_files(spark, fixture_a):
+    from salesflow.sources import create_external_table
+
+    location = stage_sales(fixture_a, scratch_location(spark, "staging"))
+    table = f"{scratch_database(spark)}.sales_staging"
+    assert create_external_table(spark, table, location).count() == 6
+    spark.sql(f"DROP TABLE {table}")
+    assert spark.read.parquet(location).count() == 6
