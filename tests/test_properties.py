@@ -132,3 +132,38 @@ def test_partition_values_match_brute_force(spark, raw_dates):
         parsed = lenient_date(d) if d not in ("2024-01-15 10:00:00",) else dt.date(2024, 1, 15)
         want.append((i, f"{parsed.year}" if parsed else None, f"{parsed.month:02d}" if parsed else None))
     assert got == want
+
+
+batch = st.lists(
+    st.tuples(st.integers(0, 10_000), st.sampled_from(["a", "b", "c", "d"]), st.sampled_from(["2023", "2024"])),
+    min_size=1,
+    max_size=12,
+)
+
+
+@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "8")), derandomize=True, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batch, batch)
+def test_overwrite_modes_match_model(spark, first, second):
+    from salesflow.operators import insert_into, overwrite_partitions, save_table
+    from salesflow.session import scratch_database
+
+    schema = "id int, category string, year string"
+    one, two = spark.createDataFrame(first, schema), spark.createDataFrame(second, schema)
+    db = scratch_database(spark)
+
+    def rows(table):
+        return sorted(tuple(r) for r in spark.table(table).select("id", "category", "year").collect())
+
+    save_table(one, f"{db}.dyn", partition_by=("category", "year"))
+    overwrite_partitions(two, f"{db}.dyn")
+    touched = {(c, y) for _, c, y in second}
+    assert rows(f"{db}.dyn") == sorted([r for r in first if (r[1], r[2]) not in touched] + list(second))
+
+    save_table(one, f"{db}.full", partition_by=("category", "year"))
+    save_table(two, f"{db}.full", partition_by=("category", "year"))
+    assert rows(f"{db}.full") == sorted(second)
+
+    save_table(one, f"{db}.app", partition_by=("category", "year"))
+    insert_into(two, f"{db}.app")
+    assert rows(f"{db}.app") == sorted(list(first) + list(second))
