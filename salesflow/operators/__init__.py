@@ -24,6 +24,7 @@ from salesflow.operators.catalog import (
 from salesflow.operators.inspect import column_names, describe_table, partition_balance, schema_text
 from salesflow.operators.ordering import first_rows, sort_rows
 from salesflow.operators.sinks import (
+    distribute,
     insert_into,
     overwrite_partitions,
     overwrite_path_partitions,
@@ -41,6 +42,7 @@ __all__ = [
     "create_database",
     "create_partitioned_sales_table",
     "describe_table",
+    "distribute",
     "first_rows",
     "insert_into",
     "list_partitions",
