@@ -65,7 +65,12 @@ def run_jobs(spark, sf_dir: str) -> dict[str, float]:
     timed(
         "etl",
         lambda: run_etl(
-            spark, root, loaded.database, id_type=ADAPTER_ID_TYPE, premium_from=TEST_PREMIUM_FROM, mid_from=TEST_MID_FROM
+            spark,
+            root,
+            loaded.database,
+            id_type=ADAPTER_ID_TYPE,
+            premium_from=TEST_PREMIUM_FROM,
+            mid_from=TEST_MID_FROM,
         ),
     )
     timed("monthly_report", lambda: monthly_report(spark, state["etl"]).collect())
@@ -84,7 +89,8 @@ def run_jobs(spark, sf_dir: str) -> dict[str, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="salesflow-bench")
+    width = int(cpus) if cpus.isdigit() else 8
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=width, app="salesflow-bench")
 
     # Warm-up: every job once on the smallest tables (JIT, class loading), not counted.
     t0 = time.time()

@@ -68,7 +68,11 @@ def partition_files(df: DataFrame, partition_cols: Sequence[str] = SALES_PARTITI
     per partition. Only files that hold rows are seen."""
     cols = list(partition_cols)
     per_file = (
-        df.select(*cols, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+        df.select(
+            *cols,
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_size").alias("file_size"),
+        )
         .groupBy(*cols, "file_path")
         .agg(F.max("file_size").alias("file_size"), F.count("*").alias("rows"))
     )

@@ -77,7 +77,8 @@ ORACLE_SQL: dict[str, str] = {
     + f"SELECT id, sale_date, product, amount, category, {_YEAR_INT} AS year, {_MONTH_INT} AS month FROM sales",
     "sales_table_count": _with(_SALES) + "SELECT count(*) AS row_count FROM sales",
     "sales_date_parts": _with(_SALES)
-    + f"SELECT id, {_DATE} AS sale_date, product, amount, category, {_YEAR_TEXT} AS year, {_MONTH_TEXT} AS month FROM sales",
+    + f"SELECT id, {_DATE} AS sale_date, product, amount, category, {_YEAR_TEXT} AS year, {_MONTH_TEXT} AS month "
+    "FROM sales",
     "sales_clean": _with(_SALES)
     + f"SELECT id, {_DATE} AS sale_date, {_initcap('product')} AS product, {_r2('amount')} AS amount, category, "
     f"{_band('amount')} AS price_category FROM sales",
@@ -103,7 +104,8 @@ ORACLE_SQL: dict[str, str] = {
     "sales_dynamic_overwrite": _with(_SALES, _PARTS)
     + f"SELECT id, sale_date, {_REWRITTEN_PRODUCT} AS product, amount, category, year FROM parts",
     "sales_path_overwrite": _with(_SALES, _PARTS)
-    + f"SELECT id, sale_date, {_REWRITTEN_PRODUCT} AS product, amount, category, CAST(year AS INTEGER) AS year FROM parts",
+    + f"SELECT id, sale_date, {_REWRITTEN_PRODUCT} AS product, amount, category, CAST(year AS INTEGER) AS year "
+    "FROM parts",
     "sales_transformed": _with(_SALES, _TRANSFORMED) + "SELECT * FROM transformed",
     "sales_by_category": _with(_SALES, _TRANSFORMED)
     + f"SELECT category, count(*) AS total_sales, {_r2('sum(amount)')} AS total_revenue, "

@@ -71,5 +71,6 @@ def run_incremental_load(
 
 def read_incremental_output(spark: SparkSession, output_root: str, id_type: str = "int") -> DataFrame:
     """The committed rows, with STRING partition columns as loaded ('01' stays '01')."""
-    schema = StructType(sales_file_schema(id_type).fields + [StructField(c, StringType(), True) for c in SALES_PARTITION_COLUMNS])
+    partitions = [StructField(c, StringType(), True) for c in SALES_PARTITION_COLUMNS]
+    schema = StructType(sales_file_schema(id_type).fields + partitions)
     return spark.read.schema(schema).parquet(output_root)

@@ -10,7 +10,13 @@ from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from salesflow.operators import create_partitioned_sales_table, insert_into, partition_revenue, rebalance, with_partition_values  # noqa: E402
+from salesflow.operators import (  # noqa: E402
+    create_partitioned_sales_table,
+    insert_into,
+    partition_revenue,
+    rebalance,
+    with_partition_values,
+)
 from salesflow.schema import SALES_PARTITION_COLUMNS  # noqa: E402
 from salesflow.session import scratch_database  # noqa: E402
 
