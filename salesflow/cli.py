@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     load = sub.add_parser("load", help="L1: partitioned load from a staging folder")
     load.add_argument("--staging", required=True, help="folder of staging Parquet files")
     load.add_argument("--database", default="sales")
+    load.add_argument("--replace-partitions", action="store_true", help="replace the loaded partitions, do not append")
 
     agg = sub.add_parser("aggregate", help="L2: aggregate table by category, year, month")
     agg.add_argument("--staging", required=True, help="folder of staging Parquet files")
@@ -60,7 +61,9 @@ def _parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Run one job; returns what it made (table names or the report)."""
     if args.job == "load":
-        tables = load_partitioned(spark, args.database, args.staging, id_type=args.id_type)
+        tables = load_partitioned(
+            spark, args.database, args.staging, id_type=args.id_type, replace_partitions=args.replace_partitions
+        )
         loaded_partitions(spark, tables.partitioned_table).show(truncate=False)
         verify_load(spark, tables.partitioned_table).show()
         return {"tables": tables}

@@ -11,6 +11,7 @@ from salesflow.operators import (
     create_partitioned_sales_table,
     insert_into,
     list_partitions,
+    overwrite_partitions,
     partition_revenue,
     sort_rows,
     using_database,
@@ -39,16 +40,23 @@ def load_partitioned(
     id_type: str = "int",
     staging_name: str = "sales_staging",
     table_name: str = "sales_partitioned",
+    replace_partitions: bool = False,
 ) -> LoadedTables:
     """Create the database and, inside it (unqualified names, as with
     ``USE``), an external staging table over the files and the partitioned table; then
     append every staging row into its (category, year, month) partition. Running it
-    twice appends the rows twice, as the reference does."""
+    twice appends the rows twice, as the reference does.
+
+    ``replace_partitions`` replaces the partitions the staging rows fall into instead
+    (K5), so re-running the same load, e.g. after a failed job, leaves one copy."""
     create_database(spark, database)
     with using_database(spark, database):
         staging = create_external_table(spark, staging_name, staging_location, id_type)
         create_partitioned_sales_table(spark, table_name, id_type)
-        insert_into(with_partition_values(staging), table_name)
+        if replace_partitions:
+            overwrite_partitions(with_partition_values(staging), table_name)
+        else:
+            insert_into(with_partition_values(staging), table_name)
     return LoadedTables(database, f"{database}.{staging_name}", f"{database}.{table_name}", staging_location)
 
 

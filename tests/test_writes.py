@@ -130,3 +130,13 @@ def test_dropping_external_staging_table_keeps_files(spark, fixture_a):
     assert create_external_table(spark, table, location).count() == 6
     spark.sql(f"DROP TABLE {table}")
     assert spark.read.parquet(location).count() == 6
+
+
+def test_load_with_partition_replace_is_rerunnable(spark, fixture_a):
+    location = stage_sales(fixture_a, scratch_location(spark, "staging"))
+    db = scratch_database(spark)
+    for _ in range(2):
+        tables = load_partitioned(spark, db, location, replace_partitions=True)
+    assert spark.table(tables.partitioned_table).count() == 6
+    load_partitioned(spark, db, location)
+    assert spark.table(tables.partitioned_table).count() == 12
