@@ -34,6 +34,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         # Listing many partition folders runs as a Spark job with one task per folder up to
         # this cap; size it to the cores at hand (a cluster sizes it to its executors).
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * shuffle_partitions))
+        # AQE keeps coalesced shuffle partitions at this size or more; with the 1 MB default a
+        # small load into hundreds of partition folders gets one to three writer tasks. The
+        # floor only matters when the shuffle is smaller than cores x 1 MB.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
