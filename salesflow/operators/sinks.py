@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.operators.catalog import partition_columns
@@ -37,7 +37,7 @@ def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 MIN_CLUSTER_WRITERS = 200
 
 
-def writer_width(spark) -> int:
+def writer_width(spark: SparkSession) -> int:
     """Writer tasks for a small result with many partition values: one per registered core,
     at most the shuffle width. In local mode the core count is exact; on a cluster it has a
     floor of ``MIN_CLUSTER_WRITERS``. Never more writers than cores plus that floor, so a
