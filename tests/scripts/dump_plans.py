@@ -69,9 +69,9 @@ def main() -> None:
         "# Physical plans",
         "",
         f"Generated by `tests/scripts/dump_plans.py` over `{sf_dir}` (`local[8]`, 8 shuffle partitions, AQE on).",
-        "Plans are shown before execution (AQE may still coalesce or split shuffle partitions, and",
-        "at this size `part` is small enough for Spark's broadcast size check). Expression ids and",
-        "scratch paths are shortened.",
+        "All but the last plan are shown before execution (AQE may still coalesce or split shuffle",
+        "partitions, and at this size `part` is small enough for Spark's broadcast size check); the",
+        "last one is shown as AQE finished it. Expression ids and scratch paths are shortened.",
         "",
     ]
     for title, df in sections:
