@@ -9,7 +9,9 @@ values must all agree. Usable from pytest and as a script:
 from __future__ import annotations
 
 import collections
+import contextlib
 import datetime as dt
+import io
 import os
 import sys
 import time
@@ -44,6 +46,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonMapInArrow")
+
+
+def python_nodes(df) -> list[str]:
+    """Python operators in the physical plan of ``df`` (none expected)."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return [node for node in PYTHON_NODES if node in out.getvalue()]
+
+
 def _norm(v):
     if isinstance(v, float):
         return repr(v)
@@ -80,6 +93,7 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     if not out["values_ok"]:
         out["only_spark"] = list((sbag - obag).elements())[:3]
         out["only_oracle"] = list((obag - sbag).elements())[:3]
+    out["python_nodes"] = python_nodes(sdf)
     out["ok"] = out["columns_ok"] and out["types_ok"] and out["values_ok"] and len(srows) == len(orows)
     return out
 

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from tests.compare import compare, duck
+from tests.compare import compare, duck, python_nodes
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,8 +28,11 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     result = compare(spark, SF, name, con)
     assert result["ok"], result
+    assert result["python_nodes"] == [], result
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
 def test_layout_queries_run(spark, name):
-    assert contract.queries()[name](spark, SF).count() > 0
+    df = contract.queries()[name](spark, SF)
+    assert df.count() > 0
+    assert python_nodes(df) == []
