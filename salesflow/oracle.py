@@ -92,6 +92,7 @@ ORACLE_SQL: dict[str, str] = {
     "category, year, month FROM parts GROUP BY category, year, month",
     "sales_partitioned_load": _with(_SALES, _PARTS) + "SELECT * FROM parts",
     "sales_stream_load": _with(_SALES, _PARTS) + "SELECT * FROM parts",
+    "sales_load_rerun": _with(_SALES, _PARTS) + "SELECT * FROM parts",
     "sales_partition_revenue": _with(_SALES, _PARTS)
     + f"SELECT category, year, month, count(*) AS cnt, {_r2('sum(amount)')} AS revenue FROM parts "
     "GROUP BY category, year, month ORDER BY year, month, category",

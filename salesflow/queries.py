@@ -189,6 +189,14 @@ def sales_partitioned_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _loaded(spark, sf_dir).partitioned_table)
 
 
+def sales_load_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 with ``replace_partitions``, run twice over the same staging files: one copy stays."""
+    staging, database = _staged(spark, sf_dir), scratch_database(spark)
+    for _ in range(2):
+        tables = load_partitioned(spark, database, staging, id_type=ADAPTER_ID_TYPE, replace_partitions=True)
+    return read_table(spark, tables.partitioned_table)
+
+
 def sales_partition_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1, O2: the load's verification aggregate."""
     out = verify_load(spark, _loaded(spark, sf_dir).partitioned_table)
@@ -318,6 +326,7 @@ QUERIES: dict[str, Query] = {
     "sales_aggregated": sales_aggregated,
     "sales_aggregated_rerun": sales_aggregated_rerun,
     "sales_partitioned_load": sales_partitioned_load,
+    "sales_load_rerun": sales_load_rerun,
     "sales_partition_revenue": sales_partition_revenue,
     "sales_append_twice": sales_append_twice,
     "sales_partitions": sales_partitions,
