@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-import os
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where the vocabulary files of the public tokenizers lie; every operator takes a path instead.
-TOKENIZER_DIR = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -57,3 +54,20 @@ TYPES = {
 
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
+
+
+#: Texts beyond this many characters are worked on in pieces, so that what a task holds stays bounded by the text.
+SEGMENT = 1 << 20
+_CUT = re.compile(r"\S(?=\s)")
+
+
+def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
+    """Cuts a text before runs of white space, where every tokenizer pattern used here ends a match."""
+    at = 0
+    while len(text) - at > size:
+        cut = _CUT.search(text, at + size - 1)
+        if not cut:
+            break
+        yield text[at : cut.end()]
+        at = cut.end()
+    yield text[at:] if at else text

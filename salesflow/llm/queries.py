@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe_codec import codec_digests
 from .common import table
 from .secrets import scan_secrets
 
@@ -14,7 +16,13 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return codec_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": secret_scan,
+    "op10_byte_bpe": byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
