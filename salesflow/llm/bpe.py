@@ -17,7 +17,7 @@ BIG = 1 << 60
 #: Up to this many tokens the least rank is found by looking at all pairs; beyond, with a heap.
 SMALL = 64
 #: Remembered pairs; beyond this many they are forgotten and worked out again.
-MEMO = 1 << 20
+MEMO = 1 << 18
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe_codec import codec_digests
 from .common import table
 from .secrets import scan_secrets
+from .token_counts import token_counts
+
+
+def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +27,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_count": token_count,
     "op3_secret_scan": secret_scan,
     "op10_byte_bpe": byte_bpe,
 }
