@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import codec_digests
 from .common import table
+from .quality import ORACLE as QUALITY_SQL
+from .quality import quality_rules
 from .secrets import scan_secrets
 from .token_counts import token_counts
 
@@ -21,6 +23,10 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return codec_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -29,6 +35,9 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_count": token_count,
     "op3_secret_scan": secret_scan,
+    "op7_quality_rules": quality,
     "op10_byte_bpe": byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_quality_rules": QUALITY_SQL,
+}
