@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import codec_digests
 from .common import table
+from .pii import find_pii
 from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_rules
 from .secrets import scan_secrets
@@ -23,6 +24,10 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -35,9 +40,11 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_count": token_count,
     "op3_secret_scan": secret_scan,
+    "op6_pii": pii,
     "op7_quality_rules": quality,
     "op10_byte_bpe": byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op6_pii": pii,
     "op7_quality_rules": QUALITY_SQL,
 }
