@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import codec_digests
 from .common import table
+from .html_text import extract_text
 from .pii import find_pii
 from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_rules
@@ -32,6 +33,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return codec_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -42,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": secret_scan,
     "op6_pii": pii,
     "op7_quality_rules": quality,
+    "op9_html_text": html_text,
     "op10_byte_bpe": byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
