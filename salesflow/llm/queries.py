@@ -15,6 +15,7 @@ from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_rules
 from .secrets import scan_secrets
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -45,12 +50,14 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_count": token_count,
     "op3_secret_scan": secret_scan,
+    "op5_toxicity": toxic_scores,
     "op6_pii": pii,
     "op7_quality_rules": quality,
     "op9_html_text": html_text,
     "op10_byte_bpe": byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op5_toxicity": toxic_scores,
     "op6_pii": pii,
     "op7_quality_rules": QUALITY_SQL,
 }
