@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_root
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -71,3 +73,34 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
         yield text[at : cut.end()]
         at = cut.end()
     yield text[at:] if at else text
+
+
+def cut_lineage(frame: DataFrame) -> DataFrame:
+    """Writes a frame once to the shared checkpoint folder, and reads it from there from now on."""
+    shared_root(frame.sparkSession)
+    return frame.checkpoint()
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of the links (a, b): the root is the least node that can be reached.
+
+    Large-star and small-star rounds until nothing changes, a few even for long chains; each round is two
+    aggregations and joins over the links, and no group of links is ever gathered in one row.
+    """
+    ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+    ordered, sign = cut_lineage(ordered), None
+    while True:
+        now = ordered.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == sign or not now[0]:
+            break
+        sign = now
+        both = ordered.union(ordered.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        ordered = cut_lineage(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+    roots = ordered.select("b").distinct()
+    return ordered.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        roots.select(F.col("b").alias("node"), F.col("b").alias("root"))
+    )

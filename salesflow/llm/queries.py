@@ -14,6 +14,7 @@ from .pii import find_pii
 from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_rules
 from .secrets import scan_secrets
+from .simhash import near_duplicates
 from .token_counts import token_counts
 from .toxicity import toxicity
 
@@ -38,6 +39,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=3)
+
+
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": toxic_scores,
     "op6_pii": pii,
     "op7_quality_rules": quality,
+    "op8_simhash": simhash_groups,
     "op9_html_text": html_text,
     "op10_byte_bpe": byte_bpe,
 }

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts
+from .common import cut_lineage, id_and_text, map_texts
 
 #: Labelled documents of either label that the fit may use, and windows of their tokens.
 SAMPLE = 4000
@@ -250,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     flat = Model({}, np.zeros(1), np.zeros((2, 2)), np.zeros(2), np.zeros(3))
     positive, negative = totals.get(1, 0), totals.get(0, 0)
     flat.document[0] = np.log((positive + 0.5) / (negative + 0.5)) if positive + negative else 0.0
-    sample = sample.repartition(8).checkpoint()  # a bounded number of texts, read several times
+    sample = cut_lineage(sample.repartition(8))  # a bounded number of texts, read several times
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     features = find_features(sample, sizes) if len(sizes) == 2 else {}
     if not features:
