@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import codec_digests
 from .common import table
+from .decontamination import benchmark_leaks
 from .html_text import extract_text
 from .pii import find_pii
 from .quality import ORACLE as QUALITY_SQL
@@ -19,6 +20,10 @@ from .token_counts import token_counts
 from .toxicity import toxicity
 
 
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -53,6 +58,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_leaks": leaks,
     "op2_token_count": token_count,
     "op3_secret_scan": secret_scan,
     "op5_toxicity": toxic_scores,
