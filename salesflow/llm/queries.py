@@ -14,6 +14,7 @@ from .html_text import extract_text
 from .pii import find_pii
 from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_rules
+from .repeats import without_repeats
 from .secrets import scan_secrets
 from .simhash import near_duplicates
 from .token_counts import token_counts
@@ -32,6 +33,10 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": leaks,
     "op2_token_count": token_count,
     "op3_secret_scan": secret_scan,
+    "op4_repeated_passages": repeats,
     "op5_toxicity": toxic_scores,
     "op6_pii": pii,
     "op7_quality_rules": quality,
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_repeated_passages": repeats,
     "op5_toxicity": toxic_scores,
     "op6_pii": pii,
     "op7_quality_rules": QUALITY_SQL,
