@@ -104,3 +104,35 @@ def components(edges: DataFrame) -> DataFrame:
     return ordered.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         roots.select(F.col("b").alias("node"), F.col("b").alias("root"))
     )
+
+
+def fresh_name(frame: DataFrame, name: str) -> str:
+    while name in frame.columns:
+        name += "_"
+    return name
+
+
+def filter_texts(docs: DataFrame, text_col: str, prepare: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows, with all their columns, whose whole text is to stay; `prepare` runs once a task and returns a
+    function from a list of texts (null: empty) to a list of verdicts. Nothing is shuffled."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = prepare()
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(work([x or "" for x in batch.column(at).to_pylist()]), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def keep_one(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id is in the one column of `ids`, one row for each id (of several, the least by all columns);
+    rows without an id can't be told apart, and stay."""
+    name, count = fresh_name(docs, "_id"), fresh_name(docs, "_count")
+    wanted = ids.toDF(name).groupBy(name).agg(F.count("*").alias(count)).hint("shuffle_hash")
+    found = docs.join(wanted, docs[id_col] == F.col(name)).drop(name)
+    columns = [f"`{c}`" for c in docs.columns]
+    several = found.where(F.col(count) > 1).groupBy(id_col).agg(F.min(F.struct(*columns)).alias(count))
+    several = several.select(*(F.col(count)[c].alias(c) for c in docs.columns))
+    return found.where(F.col(count) == 1).select(*columns).unionByName(several).unionByName(docs.where(F.col(id_col).isNull()))

@@ -25,9 +25,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import filter_texts, id_and_text
 
 #: Items with fewer words can't be told from common phrases, and are left out.
 MIN_WORDS = 5
@@ -321,9 +320,22 @@ def benchmark_leaks(
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns. Rows of equal id go or stay together."""
-    leaks = benchmark_leaks(docs, benchmark, similarity, id_col, text_col, item_col, item_text_col)
-    ids = leaks.select(F.col(id_col).alias("_leak")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(F.col("_leak")), "left_anti")
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
+    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """The rows, with all their columns, whose text holds no benchmark item."""
+    for block in item_blocks(benchmark, item_col, item_text_col):
+
+        def prepare(block=block):
+            index = Index.of(block, similarity)
+            numbers = Numbers(index.numbers)
+
+            def work(texts: list[str]) -> list[bool]:
+                leaky = {x[0] for x in find_leaks(texts, index, numbers)}
+                return [i not in leaky for i in range(len(texts))]
+
+            return work
+
+        docs = filter_texts(docs, text_col, prepare)
+    return docs

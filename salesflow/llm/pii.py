@@ -162,3 +162,27 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
         id_col, *(keep or []), *(count(k) for k in KINDS[:4]), F.sha2(joined(KINDS[:4]), 256).alias("base_sha256"),
         joined(KINDS).alias("spans"), joined(KINDS, "score").alias("scores"), count("iban"),
     )
+
+
+def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, every span of personal data replaced by its kind in brackets; a span that
+    overlaps an earlier one goes with it. Null texts stay null."""
+    kind_of = lambda kind, spans: F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{kind.upper()}]").alias("mark")))
+
+    def rebuilt(text: Column, spans: Column) -> Column:
+        def add(a: Column, s: Column) -> Column:
+            before = F.substr(text, a["at"] + 1, s["start"] - a["at"])
+            more = F.when(s["start"] >= a["at"], F.concat(a["parts"], F.array(before, s["mark"]))).otherwise(a["parts"])
+            return F.struct(F.greatest(a["at"], s["end"]).alias("at"), more.alias("parts"))
+
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+        rest = lambda a: F.concat(F.array_join(a["parts"], ""), F.substr(text, a["at"] + 1))
+        return F.aggregate(spans, none, add, rest)
+
+    def clean(text: Column) -> Column:
+        every = F.sort_array(F.concat(*(kind_of(kind, kind_spans(kind, text)) for kind in KINDS)))
+        return let(every, lambda spans: F.when(F.size(spans) > 0, rebuilt(text, spans)).otherwise(text))
+
+    text = F.col(text_col)
+    return docs.withColumn(text_col, F.when(text.isNotNull(), let(text, clean)))

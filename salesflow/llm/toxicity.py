@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, id_and_text, map_texts
+from .common import cut_lineage, filter_texts, id_and_text, map_texts
 
 #: Labelled documents of either label that the fit may use, and windows of their tokens.
 SAMPLE = 4000
@@ -326,6 +326,22 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     return map_texts(docs, id_col, text_col, "score double, predicted int, spans string", prepare)
 
 
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is below one half."""
+
+    def prepare():
+        evidence, powers = Evidence(model.features), model.powers()
+
+        def work(texts: list[str]) -> list[bool]:
+            owner, place, kind, sizes = chains(texts, evidence)
+            x = document_features(marginals(model, powers, owner, place, kind, sizes), owner, len(texts))
+            return (sigmoid(x @ model.document) < 0.5).tolist()
+
+        return work
+
+    return filter_texts(docs, text_col, prepare)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """Trains on the labelled documents that are not held out and scores all: the id, held_out, score, predicted, spans."""
     scored = score_toxicity(docs, train(docs, labels, id_col, text_col, label_col), id_col, text_col)
