@@ -1,0 +1,188 @@
+"""Operators 1 and 5, and the pipeline, against brute force and held-out labels."""
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from salesflow.llm import bpe_codec, decontamination, simhash, toxicity
+from salesflow.llm.queries import QUERIES
+
+from . import helpers
+
+SF = "/root/testdata/sf0.001"
+
+
+def table(spark, name, sf=SF):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# --- decontamination ---
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    return {r.item_id: decontamination.item_words(r.text) for r in table(spark, "benchmark").collect()}
+
+
+def leaks_by_hand(text, items, similarity=0.8):
+    words = [x for x in map(decontamination.normal, text.split()) if x]
+    return {i for i, item in items.items() if len(set(item) & set(words)) > 2 and helpers.edit_stretch(item, words) <= int((1 - similarity) * len(item) + 1e-9)}
+
+
+def test_best_stretch_equals_the_table():
+    random_ = random.Random(1)
+    for _ in range(200):
+        item, words = ([random_.randint(1, 4) for _ in range(random_.randint(a, 9))] for a in (1, 0))
+        edits, start, end = decontamination.best_stretch(np.array(item), np.array(words, int))
+        assert edits == helpers.edit_stretch(item, words)
+        assert 0 <= start <= end <= len(words)
+        row = range(len(item) + 1)
+        for y in words[start:end]:  # the plain distance of that stretch
+            new = [row[0] + 1]
+            for i, x in enumerate(item, 1):
+                new.append(min(row[i] + 1, new[i - 1] + 1, row[i - 1] + (x != y)))
+            row = new
+        assert row[-1] == edits
+
+
+def test_recall_of_edited_items(benchmark):
+    random_ = random.Random(2)
+    index = decontamination.Index.of(list(benchmark.items()), 0.8)
+    numbers = decontamination.Numbers(index.numbers)
+    vocabulary = sorted({w for x in benchmark.values() for w in x})
+    texts, wanted = [], []
+    for n, words in enumerate(benchmark.values()):
+        for k in (0, int(0.1 * len(words)), int(0.2 * len(words) + 1e-9)):
+            edited = list(words)
+            for _ in range(k):
+                p = random_.randrange(len(edited))
+                edited[p : p + random_.randint(0, 1)] = [random_.choice(vocabulary)] * random_.randint(0, 1)
+            noise = lambda: [random_.choice(vocabulary) for _ in range(random_.randint(0, 40))]
+            texts.append(" ".join([*noise(), *edited, *noise()]))
+            wanted.append(n)
+    found = {(t, i) for t, i, *_ in decontamination.find_leaks(texts, index, numbers)}
+    expected = {(t, n) for t, n in enumerate(wanted)}
+    assert len(found & expected) >= 0.95 * len(expected)
+    items = {i: decontamination.item_words(" ".join(w)) for i, w in enumerate(benchmark.values())}
+    for t, i in list(found)[:40]:  # precision is exact
+        words = [x for x in map(decontamination.normal, texts[t].split()) if x]
+        assert helpers.edit_stretch(items[i], words) <= int(0.2 * len(items[i]) + 1e-9)
+
+
+def test_leaks_query(spark, benchmark):
+    found = {}
+    texts = {r.doc_id: r.text for r in table(spark, "documents").collect()}
+    for r in QUERIES["op1_benchmark_leaks"](spark, SF).collect():
+        found.setdefault(r.doc_id, set()).add(r.item_id)
+        words = decontamination.item_words(texts[r.doc_id][r.start : r.end])
+        assert helpers.edit_stretch(benchmark[r.item_id], words) == r.edits
+    assert found == {i: x for i, t in texts.items() if (x := leaks_by_hand(t, benchmark))}
+
+
+def test_blocks_and_edges(spark, monkeypatch):
+    items = table(spark, "benchmark")
+    clean = decontamination.decontaminate(helpers.edges(spark), items)
+    assert clean.columns == helpers.edges(spark).columns and clean.count() == len(helpers.EDGES)
+    whole = helpers.rows(decontamination.benchmark_leaks(table(spark, "documents"), items), "doc_id", "item_id")
+    monkeypatch.setattr(decontamination, "BLOCK", 17)
+    assert helpers.rows(decontamination.benchmark_leaks(table(spark, "documents"), items), "doc_id", "item_id") == whole
+    assert decontamination.benchmark_leaks(helpers.edges(spark), items.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, "one two three four five six"), (7, None), (8, ""), (9, "too short")], "item_id long, text string")
+    docs = spark.createDataFrame([(None, "x one two THREE, four five six y"), (1, None)], "doc_id long, text string")
+    assert helpers.rows(decontamination.benchmark_leaks(docs, odd)) == [(None, None, 0, 6, 1.0, 2, 30)]
+    assert decontamination.benchmark_leaks(helpers.empty(spark), items).count() == 0
+
+
+# --- toxicity ---
+
+
+def test_marginals_equal_enumeration():
+    random_ = np.random.default_rng(5)
+    model = toxicity.Model({"aaaa": 1, "bbbb": 2}, random_.normal(size=3), random_.normal(size=(2, 2)), random_.normal(size=2), np.zeros(3))
+    evidence, powers = toxicity.Evidence(model.features), model.powers()
+    texts = ["", "x", "aaaa", "x y aaaa z bbbb", "bbbb aaaa aaaa x x x x bbbb x", "x x x"]
+    owner, place, kind, sizes = toxicity.chains(texts, evidence)
+    p = toxicity.marginals(model, powers, owner, place, kind, sizes)
+    for i, text in enumerate(texts):
+        kinds = [evidence[x] for x in text.split()]
+        total, toxic = 0.0, np.zeros(len(kinds))
+        for tags in itertools.product((0, 1), repeat=len(kinds)):
+            score = model.start[tags[0]] if tags else 0.0
+            score += sum(model.emission[k] for k, t in zip(kinds, tags) if t) + sum(model.transition[a, b] for a, b in zip(tags, tags[1:]))
+            total += np.exp(score)
+            toxic += np.exp(score) * np.array(tags)
+        mine = owner == i
+        assert np.allclose(p[mine], (toxic / total)[place[mine]])
+
+
+def test_chain_gradient_fits_separable_tokens():
+    tokens = np.array([[0, 1, 0, -1], [0, 0, 2, 0], [1, 0, 0, 0], [2, 2, -1, -1]] * 30)
+    emission, _, _ = toxicity.fit_chain(tokens, np.array([True, False, True, False] * 30), 3)
+    assert emission[1] > 3 > 0 > emission[0] and emission[2] < 0
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    found = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, sf).collect()}
+    assert len(found) == 1000
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for i, r in found.items())
+    held = [(found[x.doc_id].predicted, x.toxic) for x in table(spark, "labels", sf).collect() if found[x.doc_id].held_out]
+    assert np.mean([a == b for a, b in held]) >= 0.9
+    texts = {r.doc_id: r.text for r in table(spark, "documents", sf).collect()}
+    words = {texts[i][slice(*map(int, s.split(":")))] for i, r in found.items() for s in r.spans.split(",") if s}
+    assert any("idiot" in w for w in words) and len(words) < 200
+
+
+def test_held_out_labels_do_not_matter(spark):
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    turned = labels.withColumn("toxic", toxicity.F.expr("CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 = 0 THEN 1 - toxic ELSE toxic END"))
+    a, b = (helpers.rows(toxicity.toxicity(docs, x), "doc_id", "predicted") for x in (labels, turned))
+    assert a == b
+
+
+def test_toxicity_edges(spark):
+    labels = table(spark, "labels")
+    model = toxicity.train(table(spark, "documents"), labels)
+    scored = toxicity.score_toxicity(helpers.edges(spark), model)
+    assert helpers.rows(scored, "doc_id") == sorted(((i,) for i, *_ in helpers.EDGES), key=str)
+    kept = toxicity.drop_toxic(helpers.edges(spark), model)
+    assert kept.columns == helpers.edges(spark).columns
+    assert kept.count() == scored.where("predicted = 0").count()
+    assert toxicity.score_toxicity(helpers.empty(spark), model).count() == 0
+    odd = spark.createDataFrame([(None, 1, 1), (1, None, None), (1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    for few in (labels.limit(0), odd):
+        assert toxicity.toxicity(helpers.edges(spark), few).count() == len(helpers.EDGES)
+
+
+# --- the pipeline ---
+
+
+def test_pipeline_equals_brute_force(spark, benchmark):
+    docs = table(spark, "documents")
+    model = toxicity.train(docs, table(spark, "labels"))
+    toxic = {r.doc_id for r in toxicity.score_toxicity(docs, model).where("predicted = 1").collect()}
+    texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id not in toxic}
+    ids = sorted(texts)
+    root = helpers.simhash_components(ids, [simhash.fingerprint(texts[i], 3) % 2**64 for i in ids])
+    texts = {i: texts[i] for i, r in zip(ids, root) if i == r}
+    texts = {i: t for i, t in texts.items() if not leaks_by_hand(t, benchmark)}
+    texts = {i: helpers.redacted(t, helpers.pii_spans(t)) for i, t in texts.items()}
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    expected = sorted(((i, len(bpe_codec.encode(t, path)), helpers.sha(t)) for i, t in texts.items()), key=str)
+    assert toxic and len(expected) < 200
+    assert helpers.rows(corpus_pipeline.run(spark, SF), "doc_id", "n_tokens", "decoded_sha256") == expected
+
+
+def test_stages_take_edge_rows(spark):
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, t, None, "s", None if t is None else len(t)) for i, t, *_ in helpers.EDGES]
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES, 1):
+        for docs in (spark.createDataFrame(rows, columns), spark.createDataFrame([], columns)):
+            out = stage(spark, docs, SF)
+            out.collect()
+            assert n == len(corpus_pipeline.STAGES) or out.columns == docs.columns
