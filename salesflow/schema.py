@@ -1,7 +1,6 @@
 """Declared schemas and fixed values of the sales data model.
 
-Every schema is declared, never inferred, except the partition columns of a
-path read (see ``sources.files.read_partitioned``).
+Every schema is declared, never inferred.
 """
 
 from __future__ import annotations
@@ -28,6 +27,10 @@ DATE_FORMAT = "yyyy-MM-dd"
 SALES_PARTITION_COLUMNS = ("category", "year", "month")
 TRANSFORMED_PARTITION_COLUMNS = ("category", "price_category")
 MONTHLY_PARTITION_COLUMNS = ("year", "month")
+# Measures of the verification, the aggregate job and the ETL's summaries: their output column names.
+REVENUE_COLUMNS = ("category", "year", "month", "cnt", "revenue")
+AGGREGATE_COLUMNS = ("total_amount", "total_sales", "avg_amount")
+SUMMARY_COLUMNS = ("total_sales", "total_revenue", "avg_amount", "min_amount", "max_amount")
 
 ID_TYPES: dict[str, DataType] = {"int": IntegerType(), "bigint": LongType()}
 
@@ -40,7 +43,7 @@ def _id_type(id_type: str) -> DataType:
 
 
 def sales_file_schema(id_type: str = "int") -> StructType:
-    """The four data columns stored in each partition file."""
+    """The four data columns stored in each partition file (names and types are fixed values too)."""
     return StructType(
         [
             StructField("id", _id_type(id_type), True),
@@ -56,6 +59,12 @@ def raw_sales_schema(id_type: str = "int") -> StructType:
     return StructType(sales_file_schema(id_type).fields + [StructField("category", StringType(), True)])
 
 
+def partitioned_sales_schema(id_type: str = "int") -> StructType:
+    """Columns of the partitioned table: the file columns, then STRING partition columns."""
+    parts = [StructField(c, StringType(), True) for c in SALES_PARTITION_COLUMNS]
+    return StructType(sales_file_schema(id_type).fields + parts)
+
+
 def raw_sales_ddl(id_type: str = "int") -> str:
     """Column list of the staging table, as SQL DDL."""
     return ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in raw_sales_schema(id_type).fields)

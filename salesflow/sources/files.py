@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, NumericType, StringType, StructField, StructType
 
 from salesflow.schema import SALES_PARTITION_COLUMNS, raw_sales_schema, sales_file_schema
 
 
+def exact_cast(df: DataFrame, field: StructField) -> Column:
+    """The column cast to the field's type; a value that the type can't hold fails the job, whatever the
+    session's ANSI mode (a plain cast wraps integers or gives NULL with ANSI off)."""
+    have, value = df.schema[field.name].dataType, F.col(field.name)
+    if have == field.dataType:
+        return value.alias(field.name)
+    made = value.try_cast(field.dataType)
+    lost = value.isNotNull() & made.isNull()
+    if isinstance(have, NumericType) and isinstance(field.dataType, NumericType):
+        lost = lost | (made.cast(have) != value)
+    told = F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "), value.cast("string"))
+    return F.when(lost, F.raise_error(told).cast(field.dataType)).otherwise(made).alias(field.name)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the schema's columns by name, cast to the declared types.
-    Casts are ANSI casts, so a value that does not fit fails the job instead of turning NULL."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select the schema's columns by name, cast to the declared types without losing a value."""
+    return df.select(*[exact_cast(df, f) for f in schema.fields])
 
 
 def write_staging_file(df: DataFrame, path: str, id_type: str = "int") -> str:
@@ -30,22 +43,22 @@ def read_partitioned(
     spark: SparkSession,
     root: str,
     id_type: str = "int",
-    infer_partition_types: bool = True,
-    pattern: str | None = PARTITION_PATTERN,
+    integer_dates: bool = True,
+    pattern: str | None = None,
 ) -> DataFrame:
-    """Read ``root/category=*/year=*/month=*/`` with the declared file schema.
-
-    ``basePath`` makes Spark add ``category, year, month`` from the directory names.
-    With ``infer_partition_types`` (the reference's behaviour) year and month come back
-    as INT, so '01' reads as 1. Otherwise they are declared STRING and keep their padding.
-    A pattern without any match raises PATH_NOT_FOUND.
-
-    The wildcard is expanded on the driver, one folder level after another. With
-    ``pattern=None`` the root itself is read and Spark's partition discovery lists every
-    level that has many folders as a parallel job: the choice for very many partitions
-    on an object store (all folders under the root must then be partition folders)."""
-    schema = sales_file_schema(id_type)
-    if not infer_partition_types:
-        schema = StructType(schema.fields + [StructField(c, StringType(), True) for c in SALES_PARTITION_COLUMNS])
+    """Read ``root/category=*/year=*/month=*/`` with declared file and partition types.
+
+    ``category`` is STRING whatever its values look like ('007' stays '007'). With
+    ``integer_dates`` year and month are INT, so '01' reads as 1; otherwise they are STRING
+    and keep their padding.
+
+    Spark's partition discovery lists the root, each level that has many folders as a
+    parallel job. With ``pattern`` (``PARTITION_PATTERN``) the wildcard is expanded on the
+    driver instead, one folder level after another, and folders that do not match are left
+    out; a pattern without any match raises PATH_NOT_FOUND."""
+    date_type = IntegerType() if integer_dates else StringType()
+    kinds = {"category": StringType(), "year": date_type, "month": date_type}
+    parts = [StructField(c, kinds[c], True) for c in SALES_PARTITION_COLUMNS]
+    schema = StructType(sales_file_schema(id_type).fields + parts)
     base = root.rstrip("/")
     return spark.read.option("basePath", base).schema(schema).parquet(f"{base}/{pattern}" if pattern else base)

@@ -3,15 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from salesflow.schema import raw_sales_ddl
+from salesflow.schema import raw_sales_ddl, raw_sales_schema
+
+
+def check_columns(spark: SparkSession, table: str, wanted: StructType) -> None:
+    """Raise if an existing table does not have the wanted columns (``IF NOT EXISTS`` keeps the old ones silently)."""
+    have = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in wanted.fields]
+    if have != want:
+        raise ValueError(f"table {table} exists with columns {have}, not {want}")
 
 
 def create_external_table(spark: SparkSession, table: str, location: str, id_type: str = "int") -> DataFrame:
     """S3: a staging table over existing Parquet files. The files are not copied and
     dropping the table leaves them in place. ``USING PARQUET`` works with and without
-    Hive support."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({raw_sales_ddl(id_type)}) USING PARQUET LOCATION '{location}'")
+    Hive support.
+
+    A table that exists is pointed at ``location``, and must have the declared columns. The
+    file listing is refreshed, so files added or replaced since the last read are seen."""
+    if spark.catalog.tableExists(table):
+        check_columns(spark, table, raw_sales_schema(id_type))
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    else:
+        spark.sql(f"CREATE TABLE {table} ({raw_sales_ddl(id_type)}) USING PARQUET LOCATION '{location}'")
+    spark.sql(f"REFRESH TABLE {table}")
     return spark.table(table)
 
 

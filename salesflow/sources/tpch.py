@@ -25,8 +25,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def sales_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales rows from ``lineitem`` and ``part``.
+def sales_from_tpch(spark: SparkSession, sf_dir: str, first_day: str | None = None) -> DataFrame:
+    """Sales rows from ``lineitem`` and ``part``, from ``first_day`` on if it is given: the bound is on the
+    ship date itself, so it reaches the scan, as one on the formatted text would not.
 
     The join is left to the planner: ``part`` is broadcast only when its measured size is
     under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks it at runtime), otherwise
@@ -34,6 +35,8 @@ def sales_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(table_path(sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate"
     )
+    if first_day:
+        lineitem = lineitem.where(F.col("l_shipdate") >= F.lit(first_day).cast(lineitem.schema["l_shipdate"].dataType))
     part = spark.read.parquet(table_path(sf_dir, "part")).select("p_partkey", "p_name", "p_type")
     return lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner").select(
         F.col("l_orderkey").alias("id"),
