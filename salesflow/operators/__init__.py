@@ -16,6 +16,7 @@ from salesflow.operators.catalog import (
     list_partitions,
     list_tables,
     partition_columns,
+    file_listing,
     partition_files,
     table_location,
     use_database,
@@ -54,6 +55,7 @@ __all__ = [
     "overwrite_path_partitions",
     "partition_balance",
     "partition_columns",
+    "file_listing",
     "partition_files",
     "partition_revenue",
     "rebalance",

@@ -37,7 +37,7 @@ def using_database(spark: SparkSession, name: str) -> Iterator[str]:
 
 def create_partitioned_sales_table(spark: SparkSession, table: str, id_type: str = "int") -> str:
     """Parquet table with the four data columns and STRING partition columns
-    ``category, year, month``, unless it exists."""
+    ``category, year, month``, unless it exists; one that exists must have these columns."""
     parts = ", ".join(SALES_PARTITION_COLUMNS)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({partitioned_sales_ddl(id_type)}) USING PARQUET PARTITIONED BY ({parts})"
@@ -46,7 +46,8 @@ def create_partitioned_sales_table(spark: SparkSession, table: str, id_type: str
 
 
 def list_partitions(spark: SparkSession, table: str) -> DataFrame:
-    """C4: one ``k=v/k=v/...`` string per partition, from the catalog (no file listing)."""
+    """C4: one ``k=v/k=v/...`` string per partition, from the catalog (no file listing). The
+    names of all partitions pass through the driver, as the catalog gives them."""
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
@@ -60,23 +61,27 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")
 
 
+def file_listing(df: DataFrame, partition_cols: Sequence[str] = SALES_PARTITION_COLUMNS) -> DataFrame:
+    """C6 file by file: partition values, ``file_path``, ``file_size``, ``modified``, ``rows`` of a file-backed
+    DataFrame.
+
+    Uses the hidden ``_metadata`` column, so the scan reads no data columns. Only files that
+    hold rows are seen."""
+    cols = list(partition_cols)
+    meta = {"file_path": "file_path", "file_size": "file_size", "modified": "file_modification_time"}
+    seen = df.select(*cols, *(F.col(f"_metadata.{m}").alias(c) for c, m in meta.items()))
+    return seen.groupBy(*cols, "file_path").agg(
+        F.max("file_size").alias("file_size"), F.max("modified").alias("modified"), F.count("*").alias("rows")
+    )
+
+
 def partition_files(df: DataFrame, partition_cols: Sequence[str] = SALES_PARTITION_COLUMNS) -> DataFrame:
     """Files, bytes and rows per partition of a file-backed DataFrame.
 
-    Uses the hidden ``_metadata`` column, so the scan reads no data columns. Files are
-    grouped first (each task sees few files, so the partial aggregate is tiny), then
-    per partition. Only files that hold rows are seen."""
+    Files are grouped first (each task sees few files, so the partial aggregate is tiny), then
+    per partition."""
     cols = list(partition_cols)
-    per_file = (
-        df.select(
-            *cols,
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("file_size"),
-        )
-        .groupBy(*cols, "file_path")
-        .agg(F.max("file_size").alias("file_size"), F.count("*").alias("rows"))
-    )
-    return per_file.groupBy(*cols).agg(
+    return file_listing(df, cols).groupBy(*cols).agg(
         F.count("*").alias("files"),
         F.sum("file_size").alias("bytes"),
         F.sum("rows").alias("rows"),

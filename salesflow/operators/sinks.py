@@ -6,7 +6,7 @@ How rows reach the writer tasks of a partitioned write (``distribute``):
   writes few directories. AQE sizes the tasks by bytes, splitting a partition that holds
   a hot value (no single task gets a third of the data) and merging small ones.
 * ``"spread"`` (small results with many partition values, e.g. aggregates): hash by the
-  partition values into ``writer_width`` tasks that AQE does not merge, so thousands of
+  partition values into ``writers`` tasks that AQE does not merge, so thousands of
   one-file directories are written in parallel, not by one task.
 * ``"none"``: the input is already clustered by the partition columns (e.g. read from a
   table partitioned by them); each task writes only the few directories it holds.
@@ -16,6 +16,7 @@ Without any of these every task writes a file into every partition value it meet
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,28 +33,9 @@ def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df
 
 
-# Floor of the writer count on a cluster (Spark's default shuffle width): with dynamic
-# allocation the registered core count can be tiny while executors are still starting.
-MIN_CLUSTER_WRITERS = 200
-
-
-def writer_width(spark: SparkSession) -> int:
-    """Writer tasks for a small result with many partition values: one per registered core,
-    at most the shuffle width. In local mode the core count is exact; on a cluster it has a
-    floor of ``MIN_CLUSTER_WRITERS``. Never more writers than cores plus that floor, so a
-    large shuffle width does not schedule thousands of empty tasks."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect has no SparkContext
-        return max(1, width)
-    if not (spark.conf.get("spark.master", "") or "").startswith("local"):
-        cores = max(cores, MIN_CLUSTER_WRITERS)
-    return max(1, min(width, cores))
-
-
-def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Hash-distribute a small result by its partition values over ``writer_width`` tasks.
+def spread(df: DataFrame, cols: Sequence[str], writers: int | None = None) -> DataFrame:
+    """Hash-distribute a small result by its partition values over ``writers`` tasks (default: the
+    session's shuffle width).
 
     The key is a hash of the values, not the columns themselves: a repartition on the
     same columns as a preceding aggregate is dropped by the planner, leaving the
@@ -61,17 +43,18 @@ def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     repartition with a fixed count is never merged, and equal values share a task."""
     if not cols:
         return df
-    return df.repartition(writer_width(df.sparkSession), F.xxhash64(*cols))
+    width = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(width, F.xxhash64(*cols))
 
 
-def distribute(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
-    """Apply one of ``DISTRIBUTIONS`` for a write partitioned by ``cols``."""
+def distribute(df: DataFrame, cols: Sequence[str], how: str, writers: int | None = None) -> DataFrame:
+    """Apply one of ``DISTRIBUTIONS`` for a write partitioned by ``cols``; ``writers`` is for "spread"."""
     if how not in DISTRIBUTIONS:
         raise ValueError(f"distribute must be one of {DISTRIBUTIONS}, got {how!r}")
     if how == "rebalance":
         return rebalance(df, cols)
     if how == "spread":
-        return spread(df, cols)
+        return spread(df, cols, writers)
     return df
 
 
@@ -93,30 +76,47 @@ def save_table(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     distribute_by: str = "rebalance",
+    writers: int | None = None,
 ) -> None:
     """K2/K3/K4: write a managed Parquet table. With ``mode='overwrite'`` the whole table is
     replaced, including partitions absent from ``df`` (whatever partitionOverwriteMode says).
     ``distribute_by`` picks how rows reach the writers (see the module notes); it only
     applies to partitioned writes."""
     cols = list(partition_by)
-    writer = distribute(df, cols, distribute_by).write.mode(mode).format("parquet")
+    writer = distribute(df, cols, distribute_by, writers).write.mode(mode).format("parquet")
     if cols:
         writer = writer.partitionBy(*cols)
     writer.saveAsTable(table)
 
 
-def overwrite_partitions(df: DataFrame, table: str, distribute_by: str = "rebalance") -> None:
+def session_like(spark: SparkSession) -> SparkSession:
+    """A session of its own with the settings and current database of ``spark``."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return other
+
+
+def overwrite_partitions(
+    df: DataFrame, table: str, distribute_by: str = "rebalance", writers: int | None = None
+) -> None:
     """K5: replace only the partitions present in ``df``; other partitions stay.
 
-    ``insertInto`` honours only the session setting, so it is set for this write and restored."""
+    An insert honours only the session setting, so it runs in a session of its own, where the
+    rows are reached through a global temporary view: other writes of this session keep theirs."""
     spark = df.sparkSession
-    rows = _in_table_order(distribute(df, partition_columns(spark, table), distribute_by), table)
-    previous = spark.conf.get(DYNAMIC_OVERWRITE_CONF)
-    spark.conf.set(DYNAMIC_OVERWRITE_CONF, "dynamic")
+    rows = distribute(df, partition_columns(spark, table), distribute_by, writers)
+    name = f"salesflow_rows_{uuid.uuid4().hex}"
+    _in_table_order(rows, table).createGlobalTempView(name)
     try:
-        rows.write.insertInto(table, overwrite=True)
+        other = session_like(spark)
+        other.conf.set(DYNAMIC_OVERWRITE_CONF, "dynamic")
+        other.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM global_temp.{name}")
     finally:
-        spark.conf.set(DYNAMIC_OVERWRITE_CONF, previous)
+        spark.catalog.dropGlobalTempView(name)
+    spark.catalog.refreshTable(table)
 
 
 def overwrite_path_partitions(

@@ -34,10 +34,11 @@ def with_date_parts(df: DataFrame) -> DataFrame:
     )
 
 
-def with_partition_values(df: DataFrame) -> DataFrame:
+def with_partition_values(df: DataFrame, *more: str) -> DataFrame:
     """Projection of the partitioned load (P2, P4): the four data columns, then the partition
     values ``category``, ``year`` (STRING) and ``month`` (STRING, zero-padded) derived from the
-    unparsed ``sale_date`` text. Partition columns go last, in table order."""
+    unparsed ``sale_date`` text. Partition columns go last, in table order; columns named in
+    ``more`` follow them."""
     d = parse_date(F.col("sale_date"))
     return df.select(
         "id",
@@ -47,6 +48,7 @@ def with_partition_values(df: DataFrame) -> DataFrame:
         "category",
         year_text(d).alias("year"),
         month_text(d).alias("month"),
+        *more,
     )
 
 
