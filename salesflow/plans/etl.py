@@ -18,7 +18,6 @@ from salesflow.operators import (
 from salesflow.schema import MID_FROM, MONTHLY_PARTITION_COLUMNS, PREMIUM_FROM, TRANSFORMED_PARTITION_COLUMNS
 from salesflow.session import shared_root
 from salesflow.sources import read_partitioned
-from salesflow.sources.files import PARTITION_PATTERN
 
 
 @dataclass(frozen=True)
@@ -29,24 +28,28 @@ class EtlTables:
     by_month: str
 
 
-def extract(spark: SparkSession, source_root: str, id_type: str = "int", discover: bool = False) -> DataFrame:
-    """The partitioned sales files with inferred (INT) year and month. Lazy: no count or show.
-    ``discover`` reads the root by partition discovery instead of the wildcard (see
-    ``read_partitioned``)."""
-    pattern = None if discover else PARTITION_PATTERN
-    return read_partitioned(spark, source_root, id_type=id_type, infer_partition_types=True, pattern=pattern)
+def extract(spark: SparkSession, source_root: str, id_type: str = "int", pattern: str | None = None) -> DataFrame:
+    """The partitioned sales files with INT year and month. Lazy: no count or show. The root is
+    read by partition discovery, or by a wildcard ``pattern`` (see ``read_partitioned``)."""
+    return read_partitioned(spark, source_root, id_type=id_type, pattern=pattern)
 
 
 def transform(df: DataFrame, premium_from: float = PREMIUM_FROM, mid_from: float = MID_FROM) -> DataFrame:
     return clean_sales(df, premium_from, mid_from)
 
 
-def load(spark: SparkSession, transformed: DataFrame, database: str) -> EtlTables:
+def load(
+    spark: SparkSession,
+    transformed: DataFrame,
+    database: str,
+    distribute_by: str = "rebalance",
+    writers: int | None = None,
+) -> EtlTables:
     """C1, K3, G3, K4, G4, K3.
 
-    * ``sales_transformed``, partitioned by category and price band, written without a
-      shuffle: rows read from a category-partitioned source are already clustered by
-      category, so each task writes at most a few files.
+    * ``sales_transformed``, partitioned by category and price band, rebalanced by both. Where
+      the source's splits are known to hold one category each, ``distribute_by="none"`` saves
+      the shuffle; with many small files every split holds several and writes a file for each.
     * Both summaries come from one set of per-(year, month, category) totals, so the
       source is scanned once for both. The totals have one row per group and are
       checkpointed to the shared checkpoint folder, cutting lineage before two writes.
@@ -59,7 +62,7 @@ def load(spark: SparkSession, transformed: DataFrame, database: str) -> EtlTable
         f"{database}.sales_by_category",
         f"{database}.sales_by_month",
     )
-    save_table(transformed, tables.transformed, partition_by=TRANSFORMED_PARTITION_COLUMNS, distribute_by="none")
+    save_table(transformed, tables.transformed, partition_by=TRANSFORMED_PARTITION_COLUMNS, distribute_by=distribute_by)
     shared_root(spark)  # checkpoint() needs the session's checkpoint folder to be set
     totals = monthly_totals(transformed).checkpoint(eager=True)
     save_table(category_summary_from_totals(totals), tables.by_category)
@@ -68,6 +71,7 @@ def load(spark: SparkSession, transformed: DataFrame, database: str) -> EtlTable
         tables.by_month,
         partition_by=MONTHLY_PARTITION_COLUMNS,
         distribute_by="spread",
+        writers=writers,
     )
     return tables
 
@@ -79,11 +83,13 @@ def run_etl(
     id_type: str = "int",
     premium_from: float = PREMIUM_FROM,
     mid_from: float = MID_FROM,
-    discover: bool = False,
+    pattern: str | None = None,
+    distribute_by: str = "rebalance",
+    writers: int | None = None,
 ) -> EtlTables:
     """L3: extract, transform, load, in strict sequence."""
-    rows = extract(spark, source_root, id_type, discover=discover)
-    return load(spark, transform(rows, premium_from, mid_from), database)
+    rows = extract(spark, source_root, id_type, pattern)
+    return load(spark, transform(rows, premium_from, mid_from), database, distribute_by, writers)
 
 
 def category_report(spark: SparkSession, tables: EtlTables) -> DataFrame:
