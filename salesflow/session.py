@@ -6,7 +6,6 @@ it is read from the session and only set here when it is unset (tests).
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,27 +46,23 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def _local_fallback(spark: SparkSession) -> str:
-    """A temp folder when no shared folder is configured: only for local sessions (tests),
-    since executors on other machines could not see it."""
-    master = spark.conf.get("spark.master", "") or ""
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="salesflow-ckpt-")
+def _own_folder(spark: SparkSession) -> str:
+    """A folder in the warehouse, which all executors share, for sessions that configure none."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_salesflow"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set only when unset, in local sessions."""
+    """The shared checkpoint folder of the session; set only when unset."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext, the setting is all there is
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return (configured or _local_fallback(spark)).rstrip("/")
+        return (configured or _own_folder(spark)).rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or _local_fallback(spark))
+    sc.setCheckpointDir(configured or _own_folder(spark))
     return sc.getCheckpointDir().rstrip("/")
 
 

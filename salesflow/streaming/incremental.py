@@ -17,6 +17,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from salesflow.operators import with_partition_values
 from salesflow.schema import SALES_PARTITION_COLUMNS, raw_sales_schema, sales_file_schema
 
+#: Staging files of one micro-batch.
+FILES_PER_BATCH = 64
+
 
 def start_incremental_load(
     spark: SparkSession,
@@ -24,23 +27,25 @@ def start_incremental_load(
     output_root: str,
     checkpoint_location: str,
     id_type: str = "int",
-    files_per_batch: int | None = None,
-    writers_per_value: int = 4,
+    files_per_batch: int = FILES_PER_BATCH,
+    writers_per_value: int | None = None,
 ) -> StreamingQuery:
     """Load every staging file not yet loaded, then stop (``availableNow``).
 
-    AQE does not re-plan micro-batches, so skew is handled here: rows go to writers by
-    partition value plus a salt of ``writers_per_value`` buckets, so a value holding a
-    third of a batch is written by several tasks. The salt is a hash of the row, not a
-    random number, so a retried task sends every row to the same writer.
-    ``files_per_batch`` bounds the size of each micro-batch."""
-    reader = spark.readStream.schema(raw_sales_schema(id_type))
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = with_partition_values(reader.parquet(staging_dir))
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(writers_per_value))
+    Skew is handled here, since not every version re-plans micro-batches: rows go to writers by
+    partition value plus a salt of ``writers_per_value`` buckets (default: the session's shuffle
+    width, so a value holding a third of a batch can use every writer). The salt is a hash of
+    the row's file and place in it, so equal rows spread, and a retried task sends every row to
+    the same writer. ``files_per_batch`` bounds the size of each micro-batch."""
+    reader = spark.readStream.schema(raw_sales_schema(id_type)).option("maxFilesPerTrigger", files_per_batch)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = writers_per_value or width
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    staged = reader.parquet(staging_dir).withColumn("_salt", F.pmod(place, F.lit(buckets)))
+    rows = with_partition_values(staged, "_salt")
     return (
-        rows.repartition(*SALES_PARTITION_COLUMNS, salt)
+        rows.repartition(width, *SALES_PARTITION_COLUMNS, "_salt")
+        .drop("_salt")
         .writeStream.format("parquet")
         .partitionBy(*SALES_PARTITION_COLUMNS)
         .option("path", output_root)
@@ -57,8 +62,8 @@ def run_incremental_load(
     output_root: str,
     checkpoint_location: str,
     id_type: str = "int",
-    files_per_batch: int | None = None,
-    writers_per_value: int = 4,
+    files_per_batch: int = FILES_PER_BATCH,
+    writers_per_value: int | None = None,
 ) -> None:
     """Start the load and wait until the files present at the start are loaded."""
     query = start_incremental_load(
