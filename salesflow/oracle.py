@@ -9,8 +9,8 @@ Spark semantics that DuckDB spells differently:
   each word's first letter, as Spark does.
 * DuckDB's ``year``/``month`` are BIGINT; Spark's are INT.
 
-Queries whose output depends on the physical layout (file counts, split sizes,
-DESCRIBE text) have no entry here.
+Of queries about the physical layout (files, splits), what the data decide is compared: rows, partitions, names,
+types, and statements that hold for any layout.
 """
 
 from __future__ import annotations
@@ -92,6 +92,24 @@ ORACLE_SQL: dict[str, str] = {
     "category, year, month FROM parts GROUP BY category, year, month",
     "sales_partitioned_load": _with(_SALES, _PARTS) + "SELECT * FROM parts",
     "sales_stream_load": _with(_SALES, _PARTS) + "SELECT * FROM parts",
+    "sales_load_two_batches": _with(_SALES, _PARTS) + "SELECT * FROM parts",
+    "sales_restage_load": _with(_SALES, _PARTS) + "SELECT * FROM parts",
+    "sales_partition_files": _with(_SALES, _PARTS)
+    + "SELECT category, year, month, count(*) AS rows, true AS has_files, true AS has_bytes FROM parts "
+    "GROUP BY category, year, month",
+    "sales_file_listing": _with(_SALES, _PARTS)
+    + "SELECT count(*) AS rows, count(DISTINCT (category, year, month)) AS partitions, true AS described, "
+    "true AS paths_differ FROM parts",
+    "sales_schema": "SELECT column_name AS col_name, CASE column_type WHEN 'VARCHAR' THEN 'string' "
+    "ELSE lower(column_type) END AS data_type FROM (DESCRIBE " + _with(_SALES, _PARTS) + "SELECT * FROM parts)",
+    "sales_partition_balance": _with(_SALES) + "SELECT count(*) AS total_rows, true AS ids_differ FROM sales",
+    "sales_inspection": _with(_SALES, _PARTS)
+    + """SELECT 'row_count' AS part, CAST(count(*) AS VARCHAR) AS value FROM parts
+UNION ALL SELECT 'column', unnest(['id', 'sale_date', 'product', 'amount', 'category', 'year', 'month'])
+UNION ALL SELECT 'partitions', CAST(count(DISTINCT (category, year, month)) AS VARCHAR) FROM parts
+UNION ALL SELECT 'balance', CAST(count(*) AS VARCHAR) FROM parts
+UNION ALL SELECT 'sample', concat_ws('|', id, sale_date, product, category, year, month) FROM (
+  SELECT * FROM parts ORDER BY id, sale_date, product, amount, category, year, month LIMIT 3)""",
     "sales_load_rerun": _with(_SALES, _PARTS) + "SELECT * FROM parts",
     "sales_partition_revenue": _with(_SALES, _PARTS)
     + f"SELECT category, year, month, count(*) AS cnt, {_r2('sum(amount)')} AS revenue FROM parts "

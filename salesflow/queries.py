@@ -21,6 +21,7 @@ from salesflow.functions import round_money, title_case
 from salesflow.operators import (
     clean_sales,
     describe_table,
+    file_listing,
     first_rows,
     list_partitions,
     list_tables,
@@ -39,6 +40,7 @@ from salesflow.plans import (
     LoadedTables,
     append_staging,
     category_report,
+    inspect_table,
     load_partitioned,
     monthly_report,
     run_aggregate_job,
@@ -50,6 +52,7 @@ from salesflow.session import scratch_database, scratch_location
 from salesflow.streaming import read_incremental_output, run_incremental_load
 from salesflow.sources import (
     ADAPTER_ID_TYPE,
+    PARTITION_PATTERN,
     create_external_table,
     read_partitioned,
     read_table,
@@ -62,14 +65,15 @@ TEST_PREMIUM_FROM = 60000.0
 TEST_MID_FROM = 20000.0
 # Partitions from this year on are rewritten by the overwrite queries.
 REWRITE_FROM_YEAR = "1999"
+REWRITE_FROM_DAY = "1999-01-01"
 
 SALES_COLUMNS = ["id", "sale_date", "product", "amount", "category"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_from_tpch(spark, sf_dir)
+def sales(spark: SparkSession, sf_dir: str, first_day: str | None = None) -> DataFrame:
+    return sales_from_tpch(spark, sf_dir, first_day)
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> str:
@@ -112,24 +116,24 @@ def sales_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wildcard read of the loaded files; year and month inferred as INT."""
+    """Wildcard read of the loaded files; year and month as INT."""
     loaded = _loaded(spark, sf_dir)
     root = table_location(spark, loaded.partitioned_table)
-    return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE, infer_partition_types=True)
+    return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE, pattern=PARTITION_PATTERN)
 
 
 def sales_partition_scan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 with STRING partition columns: month keeps its zero padding."""
     loaded = _loaded(spark, sf_dir)
     root = table_location(spark, loaded.partitioned_table)
-    return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE, infer_partition_types=False)
+    return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE, integer_dates=False)
 
 
 def sales_partition_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 by partition discovery of the root (no wildcard): the same rows and types."""
     loaded = _loaded(spark, sf_dir)
     root = table_location(spark, loaded.partitioned_table)
-    return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE, infer_partition_types=True, pattern=None)
+    return read_partitioned(spark, root, id_type=ADAPTER_ID_TYPE)
 
 
 def sales_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,10 +176,8 @@ def sales_aggregated_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2 with ``overwrite="partitions"``: a re-run over the rows from REWRITE_FROM_YEAR on
     replaces those partitions only; the earlier ones stay."""
     table = f"{scratch_database(spark)}.sales_aggregated"
-    rows = sales(spark, sf_dir)
-    run_aggregate_job(rows, table, overwrite="partitions")
-    later = rows.where(F.substring("sale_date", 1, 4) >= REWRITE_FROM_YEAR)
-    run_aggregate_job(later, table, overwrite="partitions")
+    run_aggregate_job(sales(spark, sf_dir), table, overwrite="partitions")
+    run_aggregate_job(sales(spark, sf_dir, REWRITE_FROM_DAY), table, overwrite="partitions")
     return read_table(spark, table).withColumns(
         {"total_amount": round_money("total_amount"), "avg_amount": round_money("avg_amount")}
     )
@@ -215,19 +217,74 @@ def sales_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_partitions(spark, _loaded(spark, sf_dir).partitioned_table)
 
 
+def sales_load_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 twice into one database, from two staging folders that together hold every row."""
+    rows, database = sales(spark, sf_dir), scratch_database(spark)
+    for part in (0, 1):
+        batch = rows.where(F.pmod("id", F.lit(2)) == part)
+        staging = stage_sales(batch, scratch_location(spark, "staging"), ADAPTER_ID_TYPE)
+        tables = load_partitioned(spark, database, staging, id_type=ADAPTER_ID_TYPE)
+    return read_table(spark, tables.partitioned_table)
+
+
+def sales_restage_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 from one folder three times: as staged first, with files added, and staged anew. Each load replaces the
+    partitions it meets, so what is there last is one copy of every row."""
+    rows, database = sales(spark, sf_dir), scratch_database(spark)
+    staging = stage_sales(rows.where(F.pmod("id", F.lit(2)) == 0), scratch_location(spark, "staging"), ADAPTER_ID_TYPE)
+    load = lambda: load_partitioned(spark, database, staging, id_type=ADAPTER_ID_TYPE, replace_partitions=True)
+    load()
+    rows.where(F.pmod("id", F.lit(2)) == 1).write.mode("append").parquet(staging)
+    load()
+    stage_sales(rows, staging, ADAPTER_ID_TYPE)
+    return read_table(spark, load().partitioned_table)
+
+
 def sales_partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files, bytes, rows per partition (file counts depend on the layout: rows only)."""
-    return partition_files(read_table(spark, _loaded(spark, sf_dir).partitioned_table))
+    """Rows per partition, and whether its files and bytes were found (their numbers depend on the layout)."""
+    found = partition_files(read_table(spark, _loaded(spark, sf_dir).partitioned_table))
+    return found.select(
+        "category", "year", "month", "rows", (F.col("files") >= 1).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes")
+    )
+
+
+def sales_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 file by file, summed up: rows over all files, and whether every file has a size, a time and a path of its own."""
+    files = file_listing(read_table(spark, _loaded(spark, sf_dir).partitioned_table))
+    return files.agg(
+        F.sum("rows").alias("rows"),
+        F.count_distinct("category", "year", "month").alias("partitions"),
+        F.bool_and((F.col("file_size") > 0) & F.col("modified").isNotNull()).alias("described"),
+        (F.count_distinct("file_path") == F.count("*")).alias("paths_differ"),
+    )
 
 
 def sales_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I1, I2."""
-    return describe_table(spark, _loaded(spark, sf_dir).partitioned_table)
+    """Column names and types (the partition columns are described twice)."""
+    described = describe_table(spark, _loaded(spark, sf_dir).partitioned_table)
+    return described.where("col_name NOT LIKE '#%'").select("col_name", "data_type").distinct()
 
 
 def sales_partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I4: rows per Spark partition of the table scan (depends on the split size: rows only)."""
-    return partition_balance(read_table(spark, _loaded(spark, sf_dir).partitioned_table))
+    """I4: the rows of all Spark partitions of the table scan, and whether each partition is listed once."""
+    balance = partition_balance(read_table(spark, _loaded(spark, sf_dir).partitioned_table))
+    return balance.agg(
+        F.sum("rows").alias("total_rows"), (F.count("*") == F.count_distinct("partition_id")).alias("ids_differ")
+    )
+
+
+def sales_inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4: the table's count, columns, number of partitions and ordered sample, one row for each finding."""
+    report = inspect_table(spark, _loaded(spark, sf_dir).partitioned_table, ordered_sample=True)
+    row = lambda part, value: (F.lit(part).alias("part"), value.cast("string").alias("value"))
+    columns = report.row_count.select(F.explode(F.array(*map(F.lit, report.columns))).alias("c"))
+    return (
+        report.row_count.select(*row("row_count", F.col("row_count")))
+        .unionByName(columns.select(*row("column", F.col("c"))))
+        .unionByName(report.partitions.agg(F.count("*").alias("n")).select(*row("partitions", F.col("n"))))
+        .unionByName(report.balance.agg(F.sum("rows").alias("n")).select(*row("balance", F.col("n"))))
+        .unionByName(report.sample.select(*row("sample", F.concat_ws("|", "id", "sale_date", "product", "category", "year", "month"))))
+    )
 
 
 def sales_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,13 +300,13 @@ def sales_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- overwrite modes ---------------------------------------------------------
 
 
-def _by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_partition_values(sales(spark, sf_dir)).drop("month")
+def _by_year(spark: SparkSession, sf_dir: str, first_day: str | None = None) -> DataFrame:
+    return with_partition_values(sales(spark, sf_dir, first_day)).drop("month")
 
 
-def _rewrite(df: DataFrame) -> DataFrame:
+def _rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch: partitions from REWRITE_FROM_YEAR on, with title-cased products."""
-    return df.where(F.col("year") >= REWRITE_FROM_YEAR).withColumn("product", title_case("product"))
+    return _by_year(spark, sf_dir, REWRITE_FROM_DAY).withColumn("product", title_case("product"))
 
 
 def sales_full_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +314,7 @@ def sales_full_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.sales_by_year"
     first = _by_year(spark, sf_dir)
     save_table(first, table, partition_by=("category", "year"))
-    save_table(_rewrite(first), table, partition_by=("category", "year"))
+    save_table(_rewrite(spark, sf_dir), table, partition_by=("category", "year"))
     return read_table(spark, table)
 
 
@@ -266,7 +323,7 @@ def sales_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.sales_by_year"
     first = _by_year(spark, sf_dir)
     save_table(first, table, partition_by=("category", "year"))
-    overwrite_partitions(_rewrite(first), table)
+    overwrite_partitions(_rewrite(spark, sf_dir), table)
     return read_table(spark, table)
 
 
@@ -275,7 +332,7 @@ def sales_path_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_location(spark, "sales_by_year")
     first = _by_year(spark, sf_dir)
     overwrite_path_partitions(first, path, ("category", "year"))
-    overwrite_path_partitions(_rewrite(first), path, ("category", "year"))
+    overwrite_path_partitions(_rewrite(spark, sf_dir), path, ("category", "year"))
     return spark.read.parquet(path).select(*SALES_COLUMNS, "year")
 
 
@@ -330,7 +387,11 @@ QUERIES: dict[str, Query] = {
     "sales_partition_revenue": sales_partition_revenue,
     "sales_append_twice": sales_append_twice,
     "sales_partitions": sales_partitions,
+    "sales_load_two_batches": sales_load_two_batches,
+    "sales_restage_load": sales_restage_load,
     "sales_partition_files": sales_partition_files,
+    "sales_file_listing": sales_file_listing,
+    "sales_inspection": sales_inspection,
     "sales_schema": sales_schema,
     "sales_partition_balance": sales_partition_balance,
     "sales_stream_load": sales_stream_load,
