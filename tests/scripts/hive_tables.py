@@ -22,18 +22,18 @@ spark = (
     .getOrCreate()
 )
 spark.sparkContext.setLogLevel("OFF")
-spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+spark.sql("CREATE DATABASE IF NOT EXISTS sales_hive")
 spark.sql(
-    "CREATE TABLE IF NOT EXISTS shop.sales_partitioned (id INT, sale_date STRING, product STRING, amount DOUBLE) "
+    "CREATE TABLE IF NOT EXISTS sales_hive.sales_partitioned (id INT, sale_date STRING, product STRING, amount DOUBLE) "
     "PARTITIONED BY (category STRING, year STRING, month STRING) STORED AS PARQUET"
 )
 rows = with_partition_values(sales_from_rows(spark, FIXTURE_A))
-insert_into(rows, "shop.sales_partitioned")
-first = spark.table("shop.sales_partitioned").count()
-overwrite_partitions(rows.where("id = 3"), "shop.sales_partitioned")
-after = sorted((r.category, r.month) for r in spark.table("shop.sales_partitioned").collect())
-parts = sorted(r[0] for r in list_partitions(spark, "shop.sales_partitioned").collect())
-provider = [r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED shop.sales_partitioned").collect() if r.col_name == "Provider"]
+insert_into(rows, "sales_hive.sales_partitioned")
+first = spark.table("sales_hive.sales_partitioned").count()
+overwrite_partitions(rows.where("id = 3"), "sales_hive.sales_partitioned")
+after = sorted((r.category, r.month) for r in spark.table("sales_hive.sales_partitioned").collect())
+parts = sorted(r[0] for r in list_partitions(spark, "sales_hive.sales_partitioned").collect())
+provider = [r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED sales_hive.sales_partitioned").collect() if r.col_name == "Provider"]
 print(json.dumps({
     "catalog": spark.conf.get("spark.sql.catalogImplementation"), "provider": provider,
     "first": first, "after": after, "partitions": parts,

@@ -1,7 +1,7 @@
 """Catalog helpers, declared schemas and casts."""
 
 import pytest
-from pyspark.errors import ArithmeticException
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from salesflow.functions import month_of, year_of
@@ -43,9 +43,16 @@ def test_conform_fails_on_overflow_instead_of_null(spark):
                                F.lit("x").alias("product"), F.lit(1).alias("amount"), F.lit("c").alias("category"))
     ok = conform(df, raw_sales_schema("bigint")).first()
     assert ok.id == 2**40 and ok.amount == 1.0
-    if spark.conf.get("spark.sql.ansi.enabled") == "true":
-        with pytest.raises(ArithmeticException):
-            conform(df, raw_sales_schema("int")).collect()
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    for mode in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", mode)
+        try:
+            assert conform(df, raw_sales_schema("bigint")).first().id == 2**40
+            for lost in (df, df.withColumn("id", F.lit(1.5)), df.withColumn("id", F.lit("one")), df.withColumn("id", F.lit(2**31))):
+                with pytest.raises(PySparkException, match="id does not fit int"):
+                    conform(lost, raw_sales_schema("int")).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_date_parts_are_int(spark):

@@ -18,8 +18,8 @@ def test_loaders_on_hive_format_table():
     result = json.loads(out.strip().splitlines()[-1])
     assert result["catalog"] == "hive" and result["provider"] == ["hive"]
     assert result["first"] == 6
-    # Overwriting with one row of furniture/2024/02 replaced that partition (2 rows -> 1), kept the others.
+    # Overwriting with one row of home goods/2022/01 replaced that partition (2 rows -> 1), kept the others.
     assert [tuple(x) for x in result["after"]] == [
-        ("electronics", "01"), ("electronics", "01"), ("electronics", "03"), ("furniture", "02"), ("furniture", "03"),
+        ("home goods", "01"), ("home goods", "10"), ("home goods", "10"), ("sport", "01"), ("sport", "10"),
     ]
     assert len(result["partitions"]) == 4

@@ -36,10 +36,10 @@ def test_partition_files_and_tables(spark, fixture_a):
     tables = _loaded(spark, fixture_a)
     files = {(r.category, r.month): (r.files, r.rows) for r in partition_files(spark.table(tables.partitioned_table)).collect()}
     assert files == {
-        ("electronics", "01"): (1, 2),
-        ("electronics", "03"): (1, 1),
-        ("furniture", "02"): (1, 2),
-        ("furniture", "03"): (1, 1),
+        ("home goods", "10"): (1, 2),
+        ("home goods", "01"): (1, 2),
+        ("sport", "10"): (1, 1),
+        ("sport", "01"): (1, 1),
     }
     names = sorted(r.tableName for r in list_tables(spark, tables.database).collect())
     assert names == ["sales_partitioned", "sales_staging"]

@@ -1,46 +1,13 @@
-"""Scratch folders come from spark.checkpoint.dir; a local temp folder only in local mode."""
+"""Scratch folders come from spark.checkpoint.dir; without it, from the shared warehouse."""
 
-import pytest
+from salesflow.session import _own_folder, scratch_location, shared_root
 
-from salesflow.session import _local_fallback, scratch_location, shared_root
 
-
-class _Conf:
-    def __init__(self, master):
-        self.master = master
-
-    def get(self, key, default=None):
-        return self.master if key == "spark.master" else default
-
-
-class _Session:
-    def __init__(self, master):
-        self.conf = _Conf(master)
-
-
-def test_no_local_fallback_on_a_cluster():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        _local_fallback(_Session("yarn"))
-
-
-def test_local_fallback_in_local_mode():
-    assert _local_fallback(_Session("local[2]"))
+def test_own_folder_is_in_the_warehouse(spark):
+    assert _own_folder(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def test_scratch_under_shared_root(spark):
     root = shared_root(spark)
     a, b = scratch_location(spark, "x"), scratch_location(spark, "x")
     assert a.startswith(root + "/salesflow/") and a != b
-
-
-def test_writer_width_bounds(spark):
-    from salesflow.operators.sinks import writer_width
-
-    cores = spark.sparkContext.defaultParallelism
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert writer_width(spark) == max(1, min(shuffle, cores))
-    spark.conf.set("spark.sql.shuffle.partitions", "100000")
-    try:
-        assert writer_width(spark) == cores
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle))

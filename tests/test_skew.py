@@ -64,6 +64,7 @@ def test_spread_keeps_small_aggregate_on_many_writers(spark):
     # aggregate into one task; spreading by a hash of the values keeps the writers apart.
     assert writers(agg.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *SALES_PARTITION_COLUMNS)) == 1
     assert writers(spread(agg, SALES_PARTITION_COLUMNS)) > 1
+    assert 1 < writers(spread(agg, SALES_PARTITION_COLUMNS, 3)) <= 3
     assert spread(agg, SALES_PARTITION_COLUMNS).count() == agg.count()
 
 
