@@ -11,8 +11,8 @@ from .bpe_codec import codec_digests
 from .common import table
 from .decontamination import benchmark_leaks
 from .html_text import extract_text
+from .oracle import ORACLE_SQL
 from .pii import find_pii
-from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_rules
 from .repeats import without_repeats
 from .secrets import scan_secrets
@@ -74,9 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": html_text,
     "op10_byte_bpe": byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {
-    "op4_repeated_passages": repeats,
-    "op5_toxicity": toxic_scores,
-    "op6_pii": pii,
-    "op7_quality_rules": QUALITY_SQL,
-}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

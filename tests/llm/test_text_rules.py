@@ -156,12 +156,13 @@ def test_quality_measures(spark):
         assert not (r.base_failed and r.kept)
 
 
-def test_quality_query_equals_oracle(spark):
-    frame = QUERIES["op7_quality_rules"](spark, SF)
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_equal_their_oracles(spark, name):
+    frame = QUERIES[name](spark, SF)
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     columns = ", ".join(frame.columns)
-    expected = con.sql(f"SELECT {columns} FROM ({ORACLE_SQL['op7_quality_rules']})").fetchall()
+    expected = con.sql(f"SELECT {columns} FROM ({ORACLE_SQL[name]})").fetchall()
     assert helpers.rows(frame) == sorted(expected, key=str)
 
 
