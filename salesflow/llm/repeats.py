@@ -36,7 +36,9 @@ K = 20
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 24 << 20
 #: Bytes of fragments that one index covers, unless a single minimizer has more.
-INDEX_BYTES = 1 << 21
+INDEX_BYTES = 1 << 20
+#: Bytes whose windows are hashed at once.
+BLOCK = 1 << 16
 LOW = np.uint64((1 << 40) - 1)
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -158,9 +160,14 @@ class Chunk:
 
 
 def minimizers(data: np.ndarray) -> np.ndarray:
-    """The least hash of a K-byte string in each SPAN-byte window; hashes are built by doubling."""
-    one = data.astype(np.uint64) + np.uint64(1)
-    sums, size, parts = {1: one}, 1, []
+    """The least hash of a K-byte string in each SPAN-byte window, block by block."""
+    n = len(data) - SPAN + 1
+    return np.concatenate([_minimizers(data[at : min(at + BLOCK, n) + SPAN - 1]) for at in range(0, n, BLOCK)])
+
+
+def _minimizers(data: np.ndarray) -> np.ndarray:
+    """Hashes are built by doubling, and so are the least ones of a window."""
+    sums, size, parts = {1: data.astype(np.uint64) + np.uint64(1)}, 1, []
     while 2 * size <= K:
         last = sums[size]
         sums[2 * size] = (last[:-size] * A) ^ ((last[size:] + B) * B)
