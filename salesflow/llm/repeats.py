@@ -12,7 +12,8 @@ that equal strings always meet, and whole documents never do:
    builds the run-compressed Burrows-Wheeler transform of that order, and streams every fragment through it from its
    end: each backward step gives the interval of rows that start with the window one byte to the left, and the sample
    at the interval's head names the least document that has it. Fragments that are alone with their minimizer need no
-   index.
+   index. A minimizer that more than HOT fragments have is not one group: its fragments are cut into their windows,
+   which meet by a hash of all their bytes instead.
 4. The windows with an earlier document come back to the chunks, which mark the bytes.
 """
 
@@ -23,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,6 +39,8 @@ CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 24 << 20
 #: Bytes of fragments that one index covers, unless a single minimizer has more.
 INDEX_BYTES = 1 << 20
+#: Fragments that may meet by one minimizer.
+HOT = 100_000
 #: Bytes whose windows are hashed at once.
 BLOCK = 1 << 16
 #: Of zstd, for everything that is written or shuffled.
@@ -197,52 +201,60 @@ def split_hash(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
     return ((hashes >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), hashes & LOW
 
 
+def hashes_by_bucket(chunk: str, blob: bytes, buckets: int) -> Rows:
+    """(bucket, chunk, blob): the minimizers of a chunk, whether more than one of its documents has them, and how
+    often they come."""
+    here = Chunk(blob)
+    _, _, least, doc = here.fragments()
+    bucket, low = split_hash(least, buckets)
+    order = np.lexsort((low, bucket))
+    bucket, low, ids = bucket[order], low[order], here.ids[doc[order]]
+    new = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]))[: len(low)])
+    if not len(new):
+        return
+    several = np.minimum.reduceat(ids, new) != np.maximum.reduceat(ids, new)
+    times = np.minimum(np.diff(np.append(new, len(low))), 65_535).astype(np.uint16)
+    bucket, low = bucket[new], low[new]
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(low)]):
+        yield int(bucket[a]), chunk, pack(narrow(low[a:b]), np.packbits(several[a:b]), times[a:b])
+
+
+def find_repeated(bucket: int, rows: Rows) -> Rows:
+    """(chunk, bucket, blob): of what the chunks sent, what more than one document has, and what is hot."""
+    chunks, lows, flags, counts = [], [], [], []
+    for _, chunk, blob in rows:
+        low, several, times = unpack(blob, "u1", "u1", "u2")
+        chunks.append(chunk)
+        counts.append(times)
+        lows.append(widen(low))
+        flags.append(np.unpackbits(several, count=len(lows[-1])).astype(bool))
+    every = np.concatenate(lows)
+    order = np.argsort(every, kind="stable")
+    ordered = every[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    group = np.cumsum(new) - 1
+    twice = (np.bincount(group) > 1) | (np.bincount(group, weights=np.concatenate(flags)[order]) > 0)
+    many = np.bincount(group, weights=np.concatenate(counts)[order]) > HOT
+    again, hot = np.empty(len(every), bool), np.empty(len(every), bool)
+    again[order], hot[order] = twice[group], many[group]
+    at = 0
+    for chunk, low in zip(chunks, lows):
+        kept = np.flatnonzero(again[at : at + len(low)])
+        if len(kept):
+            yield chunk, bucket, pack(narrow(low[kept]), np.packbits(hot[at + kept]))
+        at += len(low)
+
+
 def repeated_hashes(chunks: DataFrame, buckets: int) -> DataFrame:
     """(chunk, bucket, blob): minimizers of a chunk that more than one document has."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Rows:
-            for chunk, blob in rows_of(batches):
-                here = Chunk(blob)
-                _, _, least, doc = here.fragments()
-                bucket, low = split_hash(least, buckets)
-                order = np.lexsort((low, bucket))
-                bucket, low, ids = bucket[order], low[order], here.ids[doc[order]]
-                new = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]))[: len(low)])
-                if not len(new):
-                    continue
-                several = np.minimum.reduceat(ids, new) != np.maximum.reduceat(ids, new)
-                bucket, low = bucket[new], low[new]
-                cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(low)]):
-                    yield int(bucket[a]), chunk, pack(narrow(low[a:b]), np.packbits(several[a:b]))
-
-        yield from emit(rows(), ["bucket", "chunk", "blob"], [pa.int64(), pa.string(), pa.binary()])
-
-    def find(bucket: int, rows: Rows) -> Rows:
-        chunks, lows, flags = [], [], []
-        for _, chunk, blob in rows:
-            low, several = unpack(blob, "u1", "u1")
-            chunks.append(chunk)
-            lows.append(widen(low))
-            flags.append(np.unpackbits(several, count=len(lows[-1])).astype(bool))
-        every = np.concatenate(lows)
-        order = np.argsort(every, kind="stable")
-        ordered = every[order]
-        new = np.append(True, ordered[1:] != ordered[:-1])
-        group = np.cumsum(new) - 1
-        twice = (np.bincount(group) > 1) | (np.bincount(group, weights=np.concatenate(flags)[order]) > 0)
-        again = np.empty(len(every), bool)
-        again[order] = twice[group]
-        at = 0
-        for chunk, low in zip(chunks, lows):
-            kept = low[again[at : at + len(low)]]
-            at += len(low)
-            if len(kept):
-                yield chunk, bucket, pack(narrow(kept))
+        rows = (row for chunk, blob in rows_of(batches) for row in hashes_by_bucket(chunk, blob, buckets))
+        yield from emit(rows, ["bucket", "chunk", "blob"], [pa.int64(), pa.string(), pa.binary()])
 
     sent = chunks.select("chunk", "blob").mapInArrow(send, "bucket long, chunk string, blob binary")
-    return by_key(sent, "bucket", "chunk", find, "chunk string, bucket long, blob binary", [pa.string(), pa.int64(), pa.binary()])
+    return by_key(sent, "bucket", "chunk", find_repeated, "chunk string, bucket long, blob binary", [pa.string(), pa.int64(), pa.binary()])
 
 
 class Selected:
@@ -252,19 +264,31 @@ class Selected:
         starts, sizes, least, doc = here.fragments()
         bucket, low = split_hash(least, buckets)
         key = (bucket.astype(np.uint64) << np.uint64(40)) | low
-        wanted = np.concatenate([np.zeros(0, np.uint64), *(
-            (np.uint64(b) << np.uint64(40)) | widen(unpack(blob, "u1")[0]) for b, blob in hashes)])
-        keep = np.flatnonzero(np.isin(key, wanted))
-        self.starts, self.sizes, self.doc = starts[keep], sizes[keep], doc[keep]
+        wanted, hot = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+        for b, blob in hashes:
+            lows, many = unpack(blob, "u1", "u1")
+            wanted.append((np.uint64(b) << np.uint64(40)) | widen(lows))
+            hot.append(np.unpackbits(many, count=len(wanted[-1])).astype(bool))
+        wanted, hot = np.concatenate(wanted), np.concatenate(hot)
         data = here.data.tobytes()
+        keep = np.flatnonzero(np.isin(key, wanted[~hot]))
+        cut = np.flatnonzero(np.isin(key, wanted[hot]))
+        # windows of hot minimizers, each by itself
+        n = sizes[cut]
+        single = np.repeat(starts[cut] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        own = np.array([xxhash.xxh64_intdigest(data[a : a + SPAN]) for a in single.tolist()], np.uint64)
+        own_bucket, own_low = split_hash(own, buckets)
+        join = lambda some, more: np.concatenate([some[keep], more])
+        self.starts, self.sizes = join(starts, single), join(sizes, np.ones(len(single), np.int64))
+        self.doc, bucket, low = join(doc, np.repeat(doc[cut], n)), join(bucket, own_bucket), join(low, own_low)
         number: dict[bytes, int] = {}
         ends = (self.starts + self.sizes + SPAN - 1).tolist()
         self.which = np.fromiter(
-            (number.setdefault(data[a:b], len(number)) for a, b in zip(self.starts.tolist(), ends)), np.int64, len(keep))
+            (number.setdefault(data[a:b], len(number)) for a, b in zip(self.starts.tolist(), ends)), np.int64, len(ends))
         self.strings = list(number)
-        first = np.full(len(number), len(keep), np.int64)
-        np.minimum.at(first, self.which, np.arange(len(keep)))
-        self.bucket, self.low = bucket[keep][first], low[keep][first]
+        first = np.full(len(number), len(ends), np.int64)
+        np.minimum.at(first, self.which, np.arange(len(ends)))
+        self.bucket, self.low = bucket[first], low[first]
         ids = here.ids[self.doc]
         self.least, self.most = np.full(len(number), np.iinfo(np.int64).max), np.full(len(number), np.iinfo(np.int64).min)
         np.minimum.at(self.least, self.which, ids)

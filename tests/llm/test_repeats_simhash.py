@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -20,17 +21,57 @@ def passages(seed):
     return [(i, text()) for i in range(120)] + [(3, "x" * 120), (None, "x" * 200), (200, None), (201, ""), (202, "é" * 80), (203, "é" * 81)]
 
 
-@pytest.mark.parametrize("chunk, index, bucket", [(4 << 20, 1 << 21, 24 << 20), (3000, 2000, 8000)])
-def test_repeats_equal_brute_force(spark, monkeypatch, chunk, index, bucket):
+@pytest.mark.parametrize("bucket", [24 << 20, 8000])
+def test_repeats_equal_brute_force(spark, monkeypatch, bucket):
     monkeypatch.setattr(repeats, "BUCKET_BYTES", bucket)
     documents = passages(7)
     frame = spark.createDataFrame(documents, "doc_id long, text string").repartition(3)
     assert helpers.rows(repeats.without_repeats(frame)) == helpers.repeats(documents)
 
 
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_hot_minimizers_and_small_chunks(monkeypatch, hot):
+    """The steps of the operator by hand, with limits that only workers would see otherwise."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "INDEX_BYTES", 500)
+    monkeypatch.setattr(repeats, "BLOCK", 64)
+    documents, buckets = passages(8), 3
+    blobs = {}
+    for c in range(0, len(documents), 9):
+        part = documents[c : c + 9]
+        texts = [(t or "").encode() for _, t in part]
+        ids = np.array([0 if i is None else i for i, _ in part], np.int64)
+        known = np.array([i is not None for i, _ in part])
+        blobs[c] = repeats.pack(ids, known, np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
+    sent, replies, answers = {}, {}, {}
+    for c, blob in blobs.items():
+        for b, _, data in repeats.hashes_by_bucket(c, blob, buckets):
+            sent.setdefault(b, []).append((b, c, data))
+    for b, rows in sent.items():
+        for c, _, data in repeats.find_repeated(b, rows):
+            replies.setdefault(c, []).append((b, data))
+    chosen = {c: repeats.Selected(repeats.Chunk(blob), replies.get(c, []), buckets) for c, blob in blobs.items()}
+    for b in range(buckets):
+        rows = []
+        for c, x in chosen.items():
+            at = np.flatnonzero(x.bucket == b)
+            if len(at):
+                rows.append((b, c, repeats.pack_strings([x.strings[i] for i in at], x.low[at], x.least[at], x.most[at])))
+        for c, data in repeats.bucket_answers(b, rows) if rows else ():
+            answers.setdefault(c, []).append(data)
+    got = []
+    for c, blob in blobs.items():
+        here = repeats.Chunk(blob)
+        got += np.split(repeats.removed_bytes(here, chosen[c], answers.get(c, [])), here.ends[:-1])
+    expected = {(i, sha): n for i, _, n, _, sha in helpers.repeats(documents)}
+    for (i, t), gone in zip(documents, got):
+        kept = bytes(b for b, x in zip((t or "").encode(), gone) if not x)
+        assert expected[i, helpers.sha(kept)] == gone.sum()
+
+
 def test_index_orders_windows_by_least_document():
     strings = [b"a" * 60, b"b" + b"a" * 55, b"c" * 50 + b"a" * 50, b"cc" + b"a" * 52]
-    least = __import__("numpy").array([1, 4, 6, 9])
+    least = np.array([1, 4, 6, 9])
     docs, offsets = repeats.RunLengthIndex(strings, least).stream()
     for i, s in enumerate(strings):
         for p in range(len(s) - 49):
@@ -63,20 +104,22 @@ def test_fingerprints():
         assert simhash.fingerprint(text, 3) % 2**64 == slow_fingerprint(text)
 
 
-@pytest.mark.parametrize("bucket", [4096, 6])
+@pytest.mark.parametrize("bucket", [4096, 24])
 def test_groups_equal_brute_force(spark, monkeypatch, bucket):
     """Also with chains, dense clusters and buckets that have to be refined."""
     monkeypatch.setattr(simhash, "BUCKET", bucket)
+    if bucket < 4096:
+        monkeypatch.setattr(simhash, "plan", lambda *_: [(list(range(b, b + 16)), 0) for b in range(0, 64, 16)])
     random_ = random.Random(9)
     values = [0, 2**64 - 1]
-    for _ in range(25):
+    for _ in range(12):
         value = random_.getrandbits(64)
-        for _ in range(random_.randint(1, 12)):
+        for _ in range(random_.randint(1, 8)):
             values.append(value)
             for _ in range(random_.randint(1, 3)):
                 value ^= 1 << random_.randrange(64)
-    low = random_.getrandbits(64)
-    values += [low ^ random_.getrandbits(10) for _ in range(60)]
+    shared = [random_.getrandbits(48) << 16 | 0x1234 for _ in range(30)]  # one large bucket, to be refined
+    values += shared + [v ^ (1 << random_.randrange(16, 64)) ^ (1 << random_.randrange(16, 64)) for v in shared]
     values = list(dict.fromkeys(values))
     signed = [(v - 2**64 if v >> 63 else v,) for v in values]
     distinct = spark.createDataFrame(signed, "fp long")
@@ -125,8 +168,8 @@ def test_simhash_edges(spark):
 
 
 def test_components_of_a_long_chain(spark):
-    chain = spark.range(300).selectExpr("(id * 5) % 301 AS a", "((id + 1) * 5) % 301 AS b")
-    assert helpers.rows(common.components(chain)) == sorted(((i, 0) for i in range(301)), key=str)
+    chain = spark.range(60).selectExpr("(id * 5) % 61 AS a", "((id + 1) * 5) % 61 AS b")
+    assert helpers.rows(common.components(chain)) == sorted(((i, 0) for i in range(61)), key=str)
 
 
 def test_keep_one(spark):
