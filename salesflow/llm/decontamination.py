@@ -9,6 +9,10 @@ a few edits apart give walks that meet again and again, so the embedded strings
 places of the walk make a key; windows and items of equal key, in any of REPEATS walks, are candidates. Candidates
 are verified by the exact edit distance of the item to the best stretch around the window.
 
+Walks drift apart as edits add up, so items of more than PIECE words are cut into consecutive pieces of about equal
+length, and the pieces are walked. Within the allowed edits of an item one piece at least has no more edits a word
+than the whole item, so that the piece is within its own allowed edits; the whole item is verified around it.
+
 Two bounds without loss keep this cheap. Each edit takes at most two of an item's n - 1 word pairs away, so a
 window that holds fewer pairs of the benchmark than n - 1 less twice the allowed edits is not walked; and a candidate
 that holds fewer of the item's words than n less the allowed edits is not aligned. Items are worked on in blocks of BLOCK, each one pass over the documents, so what is broadcast is bounded.
@@ -33,6 +37,8 @@ MIN_WORDS = 5
 SIMILARITY = 0.8
 #: Walks, and sampled places of each: over 0.95 of random items edited up to the limit are found (tests).
 REPEATS, PLACES = 32, 3
+#: The most words that are walked as one piece.
+PIECE = 40
 #: Items of one pass, and the most bytes of their texts.
 BLOCK, BLOCK_BYTES = 2000, 8 << 20
 #: The longest item of a length class over the shortest one.
@@ -74,9 +80,9 @@ class Numbers(dict):
 class LengthClass:
     shortest: int
     longest: int
-    items: list[int]
+    pieces: list[int]
     places: np.ndarray = None  # by repeat, the sampled steps in order
-    tables: list = field(default_factory=list)  # by repeat: first symbols, sorted keys, their items
+    tables: list = field(default_factory=list)  # by repeat: first symbols, sorted keys, their pieces
 
 
 def step_bits(multipliers: np.ndarray, step: int, symbols: np.ndarray) -> np.ndarray:
@@ -103,6 +109,12 @@ def walk(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, multipliers: np.
     return key, alive
 
 
+def piece_cuts(n: int) -> np.ndarray:
+    """Where the pieces of an item of n words start, and n."""
+    parts = -(-n // PIECE)
+    return np.arange(parts + 1) * n // parts
+
+
 def pair_places(ids: np.ndarray) -> np.ndarray:
     """Where each pair of neighbours is marked."""
     mixed = ids[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids[1:].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -116,6 +128,9 @@ class Index:
     numbers: dict[str, int]
     item_ids: list
     items: list[np.ndarray]
+    owners: np.ndarray  # by piece, its item
+    offsets: np.ndarray  # by piece, its first word in the item
+    sizes: np.ndarray  # by piece, its words
     classes: list[LengthClass]
     multipliers: np.ndarray
     similarity: float
@@ -130,32 +145,37 @@ class Index:
         numbers: dict[str, int] = {}
         coded = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in words], np.int64) for _, words in items]
         random = np.random.default_rng(SEED)
-        order = sorted(range(len(items)), key=lambda i: len(coded[i]))
+        cuts = [piece_cuts(len(x)) for x in coded]
+        owners = np.repeat(np.arange(len(coded)), [len(x) - 1 for x in cuts])
+        inside = np.concatenate([np.zeros(0, np.int64), *(x[:-1] for x in cuts)])
+        sizes = np.concatenate([np.zeros(0, np.int64), *map(np.diff, cuts)])
         classes: list[LengthClass] = []
-        for i in order:
-            n = len(coded[i])
+        for i in np.argsort(sizes, kind="stable").tolist():
+            n = int(sizes[i])
             if not classes or n > classes[-1].shortest * CLASS_RATIO:
                 classes.append(LengthClass(n, n, []))
             classes[-1].longest = n
-            classes[-1].items.append(i)
+            classes[-1].pieces.append(i)
         steps = max((int(1.5 * c.shortest) + 2 for c in classes), default=0)
         multipliers = random.integers(0, 1 << 63, (REPEATS, max(steps, 1)), np.uint64) * np.uint64(2) + np.uint64(1)
         pairs = np.zeros(1 << PAIR_BITS, bool)
         for x in coded:
             pairs[pair_places(x)] = True
-        made = cls(numbers, [i for i, _ in items], coded, classes, multipliers, similarity, pairs, [Counter(x.tolist()) for x in coded])
+        counts = [Counter(x.tolist()) for x in coded]
+        made = cls(numbers, [i for i, _ in items], coded, owners, inside, sizes, classes, multipliers, similarity, pairs, counts)
         flat = np.concatenate([*coded, np.zeros(1, np.int64)]) if coded else np.zeros(1, np.int64)
         offsets = np.cumsum([0, *map(len, coded)])
         for c in classes:
             reach = max(int(1.5 * c.shortest), PLACES)
             c.places = np.array([np.sort(random.choice(reach, PLACES, replace=False)) for _ in range(REPEATS)])
-            starts, ends = offsets[c.items], offsets[np.array(c.items) + 1]
+            starts = offsets[owners[c.pieces]] + inside[c.pieces]
+            ends = starts + sizes[c.pieces]
             for r in range(REPEATS):
                 first = np.zeros(len(numbers) + 3, bool)
                 first[made._symbols(flat, starts, ends, r, int(c.places[r][0])) + 2] = True
                 keys, _ = walk(flat, starts, ends, multipliers[r], c.places[r], None)
                 by = np.argsort(keys, kind="stable")
-                c.tables.append((first, keys[by], np.array(c.items)[by]))
+                c.tables.append((first, keys[by], np.array(c.pieces)[by]))
         return made
 
     def _symbols(self, ids, starts, ends, r, place) -> np.ndarray:
@@ -166,26 +186,26 @@ class Index:
         return symbol
 
     def candidates(self, ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(starts, items) of windows and items that share a key; `ends` is where each word's document ends."""
+        """(starts, pieces) of windows and pieces that share a key; `ends` is where each word's document ends."""
         common = np.append(self.pairs[pair_places(ids)], False)
         common &= (ids > 0) & (np.arange(1, len(ids) + 1) < ends)
         common = np.concatenate([[0], np.cumsum(common)])
         for c in self.classes:
             size = c.longest + self.allowed(c.longest)
-            least = min(n - 1 - 2 * self.allowed(n) for n in {len(self.items[i]) for i in c.items})
+            least = min(n - 1 - 2 * self.allowed(n) for n in set(self.sizes[c.pieces].tolist()))
             starts = np.flatnonzero(ids > 0)
             stops = np.minimum(starts + size, ends[starts])
             starts = starts[common[stops - 1] - common[starts] >= least]
             if not len(starts):
                 continue
-            for r, (first, keys, items) in enumerate(c.tables):
+            for r, (first, keys, pieces) in enumerate(c.tables):
                 key, alive = walk(ids, starts, ends[starts], self.multipliers[r], c.places[r], first)
                 low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
                 hit = np.flatnonzero(high > low)
                 count = (high - low)[hit]
                 if len(hit):
                     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    yield np.repeat(starts[alive[hit]], count), items[np.repeat(low[hit], count) + nth]
+                    yield np.repeat(starts[alive[hit]], count), pieces[np.repeat(low[hit], count) + nth]
 
 
 def best_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
@@ -206,6 +226,36 @@ def best_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     return int(edits[end]), m - int(row[end] % scale), end
 
 
+def regions(
+    seen: set[tuple[int, int, int]], index: Index, owner: np.ndarray, ends: np.ndarray, sizes: np.ndarray
+) -> Iterator[tuple[int, int, int, int]]:
+    """(item, a word of the document, begin, stop) of what is to be aligned for candidates (item, start, offset of the
+    piece). Candidates of a cut item whose starts are close are aligned as one region."""
+    last = None  # item, document, its word, least and greatest start of the item
+    for i, at, offset in sorted((i, at - offset, offset) for i, at, offset in seen):
+        at += offset
+        n, k = len(index.items[i]), index.allowed(len(index.items[i]))
+        if n <= PIECE:
+            yield i, at, max(int(ends[at]) - int(sizes[owner[at]]), at - k), min(int(ends[at]), at + n + 2 * k)
+            continue
+        if last and last[:2] == (i, int(owner[at])) and at - offset - last[3] <= k:
+            last = (*last[:4], at - offset)
+            continue
+        if last:
+            yield around(last, index, owner, ends, sizes)
+        last = (i, int(owner[at]), at, at - offset, at - offset)
+    if last:
+        yield around(last, index, owner, ends, sizes)
+
+
+def around(found: tuple[int, int, int, int, int], index: Index, owner: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> tuple[int, int, int, int]:
+    i, _, at, least, greatest = found
+    n, k = len(index.items[i]), index.allowed(len(index.items[i]))
+    # a piece may be shifted by the edits before it, and its window by the edits within it
+    begin = max(int(ends[at]) - int(sizes[owner[at]]), least - 2 * k)
+    return i, at, begin, min(int(ends[at]), greatest + n + 3 * k)
+
+
 def find_leaks(texts: list[str], index: Index, numbers: Numbers) -> list[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, end) of each text and item: the best stretch within the allowed edits, in code
     points of the text."""
@@ -220,28 +270,29 @@ def find_leaks(texts: list[str], index: Index, numbers: Numbers) -> list[tuple[i
         sizes = np.array([len(x) for _, x, _ in group])
         ends = np.repeat(np.cumsum(sizes), sizes)
         owner = np.repeat(np.arange(len(group)), sizes)
-        seen: set[tuple[int, int]] = set()
-        for starts, items in index.candidates(ids, ends):
-            seen.update(zip(starts.tolist(), items.tolist()))
+        seen: set[tuple[int, int, int]] = set()
+        for starts, pieces in index.candidates(ids, ends):
+            i, offset = index.owners[pieces], index.offsets[pieces]
+            seen.update(zip(i.tolist(), starts.tolist(), offset.tolist()))
         covered: dict[int, int] = {}
-        for at, i in sorted(seen):
+        for i, at, begin, stop in regions(seen, index, owner, ends, sizes):
             if covered.get(i, -1) >= at:
                 continue
             item, k = index.items[i], index.allowed(len(index.items[i]))
             g = int(owner[at])
-            stop, begin = int(ends[at]), int(ends[at]) - len(group[g][1])
-            region = ids[max(begin, at - k) : min(stop, at + len(item) + 2 * k)]
+            first = int(ends[at]) - len(group[g][1])
+            region = ids[begin:stop]
             # words in common, each as often as both have it
             if sum((Counter(region.tolist()) & index.counts[i]).values()) < len(item) - k:
                 continue
             edits, a, b = best_stretch(item, region)
             if edits > k:
                 continue
-            a, b = (x + max(begin, at - k) - begin for x in (a, b))
+            a, b = (x + begin - first for x in (a, b))
             key = (g, i)
             if key not in found_here or (edits, a) < found_here[key][:2]:
                 found_here[key] = (edits, a, b)
-            if edits == 0:
+            if edits == 0 and len(item) <= PIECE:
                 covered[i] = at + len(item) - 1
         for (g, i), (edits, a, b) in found_here.items():
             text, _, places = group[g]

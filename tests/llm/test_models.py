@@ -74,6 +74,21 @@ def test_recall_of_edited_items(benchmark):
         assert helpers.edit_stretch(items[i], words) <= int(0.2 * len(items[i]) + 1e-9)
 
 
+@pytest.mark.parametrize("n", [15, 25, 40, 41, 60, 120, 200, 300, 500])
+def test_recall_at_the_limit_by_length(n):
+    random_ = random.Random(n)
+    items = [(i, [f"w{random_.randrange(3000)}" for _ in range(n)]) for i in range(200 if n < 100 else 60)]
+    index = decontamination.Index.of(items, 0.8)
+    texts = []
+    for _, words in items:
+        edited, places = [], random_.sample(range(n), int(0.2 * n + 1e-9))  # each a real edit, by words of no item
+        for p, word in enumerate(words):
+            edited += random_.choice((["x"], ["x", word], [])) if p in places else [word]
+        texts.append(" ".join(["y"] * 30 + edited + ["y"] * 30))
+    found = {(t, i) for t, i, *_ in decontamination.find_leaks(texts, index, decontamination.Numbers(index.numbers))}
+    assert len(found & {(i, i) for i in range(len(items))}) >= 0.95 * len(items)
+
+
 def test_leaks_query(spark, benchmark):
     found = {}
     texts = {r.doc_id: r.text for r in table(spark, "documents").collect()}
