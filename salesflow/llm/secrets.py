@@ -2,7 +2,9 @@
 
 Patterns propose base spans (assignments, access key ids, hex runs). Base64, base64url and hex candidates are
 decoded as well, and reported only if the bytes have the structure of a key: DER with nested lengths that fill
-their parents exactly, an OpenSSH key blob, or a signed token whose header and payload are JSON.
+their parents exactly, an OpenSSH key blob, or a signed token whose header and payload are JSON. A key may start
+anywhere in a run of such characters, and its lines may be wrapped, by escapes (\\n) and joined strings as well; its
+own lengths tell where it ends.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import base64
 import binascii
 import json
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
@@ -26,10 +29,23 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 # End of the fixed values.
 
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-LONG_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+PEM_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
+PEM_MARKS = re.compile(r"[ \t]*[\"'][ \t]*[+.,]?[ \t]*\\?(?=\r?$)|^[ \t]*(?:[\"'#>*;]+[ \t]*)?|\\(?=\r?$)", re.MULTILINE)
+ESCAPE = re.compile(r"\\+(?:u00(2[bB]|2[fF]|3[dD])|([nrt])|/)")
+DEK = re.compile(r"[A-Z0-9-]+,[0-9A-Fa-f]{16,}")
+TOKEN_PART = re.compile(r"[A-Za-z0-9_-]{14,}")
+TOKEN_REST = re.compile(r"\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# A header is a JSON object, after white space perhaps.
+TOKEN_START = re.compile(r"e(?=[w-z0-9])|[ICD]")
+# DER starts with a SEQUENCE tag, OpenSSH blobs with their magic.
+DER_START = {64: re.compile(r"M(?=[A-P][A-Za-z0-9+/_-]{10})"), 16: re.compile(r"30(?=[0-9A-Fa-f]{16})")}
+SSH_START = {64: re.compile(r"b3BlbnNzaC1rZXktdjEA"), 16: re.compile(r"6f70656e7373682d6b65792d763100", re.IGNORECASE)}
+CHUNK = {64: re.compile(r"[A-Za-z0-9+/_-]+"), 16: re.compile(r"[0-9A-Fa-f]+")}
+GAP = re.compile(r"\\+(?=/)|(?:[\"'][ \t]*[+.,]?)?(?:\\+[nrt]|\s|\\(?=\s))+(?:[\"'>#][ \t]*)?")
+JSON = json.JSONDecoder()
+PADDING = re.compile("={0,2}")
+LEAST_CHARS = {64: 40, 16: 64}
 SSH_MAGIC = b"openssh-key-v1\0"
 MAX_DEPTH = 16
 INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
@@ -65,12 +81,14 @@ def nested(data: bytes, depth: int = 0) -> bool:
 
 
 def is_der_key(data: bytes) -> bool:
-    """A private key: PKCS#1 RSA or DSA (a version and five integers or more), SEC1 EC, or PKCS#8."""
+    """A private key: PKCS#1 RSA or DSA (a version and five integers or more), SEC1 EC, or PKCS#8, encrypted or not."""
     top = children(data)
     if not top or len(top) != 1 or top[0][0] != SEQUENCE or not nested(data):
         return False
     parts = children(top[0][1]) or []
     tags = [tag for tag, _ in parts]
+    if tags == [SEQUENCE, OCTETS]:  # with parameters: without them it is a digest
+        return [tag for tag, _ in children(parts[0][1]) or []] == [OID, SEQUENCE] and len(parts[1][1]) >= 16
     if len(tags) < 2 or tags[0] != INTEGER or len(parts[0][1]) != 1:
         return False
     if len(tags) >= 6 and all(tag == INTEGER for tag in tags[:6]):
@@ -83,21 +101,30 @@ def is_der_key(data: bytes) -> bool:
 
 def is_ssh_key(data: bytes) -> bool:
     """An OpenSSH private key: the magic, then cipher, KDF and KDF options by length, and at least one key blob."""
+    return ssh_sizes(data) is not None
+
+
+def ssh_sizes(data: bytes) -> tuple[int, int | None] | None:
+    """The sizes of the OpenSSH private key that `data` starts with, without its private part and (None if that is cut
+    off) with it; None if it is none."""
     if not data.startswith(SSH_MAGIC):
-        return False
+        return None
     at = len(SSH_MAGIC)
     for _ in range(3):
         size = int.from_bytes(data[at : at + 4], "big")
         at += 4 + size
         if at + 4 > len(data):
-            return False
+            return None
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    for _ in range(keys if 1 <= keys <= 16 else 0):
+    if not 1 <= keys <= 16:
+        return None
+    for _ in range(keys):
         size = int.from_bytes(data[at : at + 4], "big")
         at += 4 + size
         if size == 0 or at > len(data):
-            return False
-    return 1 <= keys <= 16
+            return None
+    end = at + 4 + int.from_bytes(data[at : at + 4], "big")
+    return at, end if at + 4 < end <= len(data) else None
 
 
 def unpack(text: str, url: bool = False) -> bytes | None:
@@ -114,6 +141,134 @@ def key_kind(data: bytes | None) -> str | None:
     return "ssh" if is_ssh_key(data) else "der" if data[0] == SEQUENCE and is_der_key(data) else None
 
 
+def taken(text: str, at: int, base: int, wanted: int) -> tuple[str, list[int]]:
+    """The next `wanted` characters of a base, or as many as there are, beyond line ends; and by line, where in the
+    text it ends, up to those characters."""
+    parts, stops, held = [], [], 0
+    while m := CHUNK[base].match(text, at, at + wanted - held):
+        parts.append(m[0])
+        held += len(m[0])
+        stops.append(m.end())
+        gap = GAP.match(text, m.end()) if held < wanted else None
+        if not gap:
+            break
+        at = gap.end()
+    return "".join(parts), stops
+
+
+def decoded(text: str, base: int) -> bytes:
+    """The bytes of the characters of a base, without what is left over at the end."""
+    if base == 16:
+        return bytes.fromhex(text[: len(text) // 2 * 2])
+    text = text.replace("-", "+").replace("_", "/")
+    return base64.b64decode(text[: len(text) - (len(text) % 4 == 1)] + "=" * (-len(text) % 4 % 3))
+
+
+def der_size(head: bytes) -> int | None:
+    """The size of the key that may start with these bytes, by its outer length."""
+    if head[0] != SEQUENCE:
+        return None
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[1] & 0x80 and not 1 <= n <= 4:
+        return None
+    at = 2 + n
+    if head[at] != SEQUENCE and head[at : at + 2] != bytes([INTEGER, 1]):
+        return None
+    return at + (int.from_bytes(head[2:at], "big") if n else head[1])
+
+
+def bare_keys(text: str, base: int) -> Iterator[tuple[int, int, int, bool]]:
+    """(start, rank of the kind, end, whether on one line) of every key in the characters of a base."""
+    chars = lambda size: -(-size * 4 // 3) if base == 64 else size * 2
+    over = 0
+    for m in DER_START[base].finditer(text):
+        at = m.start()
+        size = der_size(decoded(text[at : at + 12 if base == 64 else at + 18], base)) if at >= over else None
+        if not size or not LEAST_CHARS[base] <= chars(size) <= len(text) - at:
+            continue
+        found, stops = taken(text, at, base, chars(size))
+        if len(found) == chars(size) and is_der_key(decoded(found, base)[:size]):
+            over = stops[-1]
+            over += len(PADDING.match(text, over)[0]) if base == 64 else 0
+            yield at, KINDS.index("der"), over, len(stops) == 1
+    for m in SSH_START[base].finditer(text):
+        wanted, at = 1 << 12, m.start()
+        while True:
+            found, stops = taken(text, at, base, wanted)
+            data = decoded(found, base)
+            sizes = ssh_sizes(data)
+            if len(found) < wanted or sizes and sizes[1]:
+                break
+            wanted *= 2
+        size = sizes and sizes[1]
+        if sizes and not size:  # cut off: as far as its line goes, or the lines with its public keys
+            size = max(sizes[0], (stops[0] - at) * 3 // 4 if base == 64 else (stops[0] - at) // 2)
+        if size and len(found) >= LEAST_CHARS[base]:
+            found, stops = taken(text, at, base, min(chars(size), len(found)))
+            end = stops[-1]
+            yield at, KINDS.index("ssh"), end + (len(PADDING.match(text, end)[0]) if base == 64 else 0), len(stops) == 1
+
+
+def plain(m: re.Match) -> str:
+    return chr(int(m[1], 16)) if m[1] else "\n" if m[2] else "/"
+
+
+def is_pem_body(body: str) -> bool:
+    """True if what stands between the lines of a PEM key is a key, or is encrypted as its header lines say."""
+    lines = [x.strip() for x in PEM_MARKS.sub("", ESCAPE.sub(plain, body)).strip().splitlines()]
+    heads = 0
+    if lines and PEM_HEADER.match(lines[0]):
+        heads = lines.index("") if "" in lines else sum(":" in x for x in lines)
+    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[:heads])}
+    packed = "".join(lines[heads:])
+    data = unpack(packed, url="-" in packed or "_" in packed)
+    if not data:
+        return False
+    if "ENCRYPTED" in fields.get("proc-type", ""):
+        return bool(DEK.fullmatch(fields.get("dek-info", ""))) and len(data) >= 16 and len(data) % 8 == 0
+    return key_kind(data) is not None
+
+
+def pem_keys(text: str) -> Iterator[tuple[int, int, int]]:
+    for m in PEM.finditer(text):
+        stop = text.find("-----", m.end())
+        last = f"-----END {m[1]}-----"
+        if stop >= 0 and text.startswith(last, stop) and is_pem_body(text[m.end() : stop]):
+            yield m.start(), KINDS.index("pem"), stop + len(last)
+
+
+def signed_tokens(text: str) -> Iterator[tuple[int, int, int]]:
+    """Signed tokens, whose header may start anywhere in the part before the first dot."""
+    over = 0
+    for m in TOKEN_PART.finditer(text):
+        rest = TOKEN_REST.match(text, m.end()) if m.start() >= over else None
+        if not rest:
+            continue
+        # the part is decoded once for each number of characters over a multiple of four; a header ends where it ends
+        first = {k: (len(m[0]) - k) % 4 for k in (0, 2, 3)}
+        data = {k: decoded(m[0][at:], 64).rstrip(b" \t\r\n").decode("latin-1") for k, at in first.items()}
+        for start in TOKEN_START.finditer(m[0]):
+            at, k = start.start(), (len(m[0]) - start.start()) % 4
+            if k == 1 or not data[k].endswith("}") or not is_header(data[k], (at - first[k]) // 4 * 3):
+                continue
+            if is_signed_token(m[0][at:] + rest[0]):
+                over = rest.end()
+                yield m.start() + at, KINDS.index("jwt"), over
+                break
+
+
+def is_header(text: str, at: int) -> bool:
+    """True if what starts at a place of `text` is one JSON value that goes to its end."""
+    while text[at : at + 1] in (" ", "\t", "\r", "\n"):
+        at += 1
+    if text[at : at + 1] != "{":
+        return False
+    try:
+        return JSON.raw_decode(text, at)[1] == len(text)
+    except (ValueError, RecursionError):
+        return False
+
+
 def is_signed_token(text: str) -> bool:
     header, payload, signature = text.split(".", 2)
     try:
@@ -134,23 +289,14 @@ def secret_spans(text: str) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            if key_kind(unpack(m[2])):
-                found.append((m.start(), 3, m.end()))
-    for m in BASE64.finditer(text):
-        # DER starts with a SEQUENCE tag (M), OpenSSH blobs with their magic (b3B)
-        if m[0][0] == "M" or m[0].startswith("b3B"):
-            kind = key_kind(unpack(m[0]))
-            if kind:
-                found.append((m.start(), KINDS.index(kind), m.end()))
-    for m in LONG_HEX.finditer(text):
-        if len(m[0]) % 2 == 0 and m[0][:2] in ("30", "6f", "6F"):
-            kind = key_kind(bytes.fromhex(m[0]))
-            if kind:
-                found.append((m.start(), KINDS.index(kind), m.end()))
-    if "eyJ" in text:
-        found += [(m.start(), 6, m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
+    pems = list(pem_keys(text)) if "-----BEGIN" in text else []
+    for base in (64, 16):
+        for start, kind, end, one_line in bare_keys(text, base):
+            # a wrapped key between PEM lines is told as such
+            if one_line or not any(a <= start < b for a, _, b in pems):
+                found.append((start, kind, end))
+    found += pems
+    found += signed_tokens(text)
     return sorted(set(found))
 
 
