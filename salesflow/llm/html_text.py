@@ -3,7 +3,7 @@
 A tree builder closes what HTML lets authors leave open (paragraphs, list items, table parts, the head) and ignores
 stray end tags; visibility rules drop what a browser does not show; the renderer then lays out what is left: blocks
 on lines of their own, a blank line around paragraphs and headings, list markers with indents, table cells aligned
-in columns, preformatted text as it is. Neither builder nor renderer recurses, so depth is not bounded by a stack.
+in columns, preformatted text as it is. Labels of SVG and the text of MathML are inline text. Neither builder nor renderer recurses, so depth is not bounded by a stack.
 """
 
 from __future__ import annotations
@@ -22,22 +22,36 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.IGNORECASE)
+HIDING = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse)", re.IGNORECASE)
 
 # Element groups of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template noscript title meta link base datalist iframe noembed noframes object audio video canvas svg math "
+    "head script style template noscript title meta link base datalist iframe noembed noframes object audio video canvas "
     "area param source track col colgroup rp".split()
 )
+FOREIGN = frozenset(["svg", "math"])
+FOREIGN_UNSEEN = frozenset(
+    "defs symbol clippath mask pattern marker filter lineargradient radialgradient desc metadata annotation annotation-xml".split()
+)
+#: Elements of SVG and MathML whose content is HTML, and HTML elements that end SVG and MathML.
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Elements of SVG and MathML whose text, or whose children, stand apart.
+APART, PARTS_APART = frozenset(["text", "mtd"]), frozenset(["mfrac", "mroot"])
+ROWS = frozenset("tr tbody thead tfoot".split())
 HEAD_ONLY = frozenset("base link meta title style script template noscript".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
-    "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table ul caption optgroup option".split()
+    "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table ul caption optgroup option xmp".split()
 )
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir blockquote pre table figure hr".split())
-CLOSES_P = BLOCK - frozenset("body html caption legend li dd dt option optgroup".split()) | frozenset(["xmp"])
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir blockquote pre table figure hr xmp".split())
+CLOSES_P = BLOCK - frozenset("body html caption legend li dd dt option optgroup".split())
 # What a start tag ends where it is still open, and the elements beyond which it does not look.
 ENDS = {
     "li": (frozenset(["li"]), frozenset("ul ol menu dir table td th".split())),
@@ -80,6 +94,21 @@ class Node:
             or self.tag == "input" and (self.attribute("type") or "").lower() in ("hidden", "checkbox", "radio", "password", "file")
         )
 
+    def foreign_hidden(self) -> bool:
+        """Whether an element of SVG or MathML hides what it holds."""
+        return self.tag in FOREIGN_UNSEEN or (self.attribute("display") or "").strip().lower() == "none"
+
+    def visibility(self, mode: str) -> str | None:
+        """What the element says of its visibility, which is inherited where it says nothing."""
+        if self.tag == "mphantom" and mode == "math":
+            return "hidden"
+        if "visibility" not in self.attributes.lower():
+            return None
+        said = VISIBILITY.findall(self.attribute("style") or "")
+        if not said and mode in ("svg", "label"):
+            said = VISIBILITY.findall(f"visibility:{self.attribute('visibility') or ''}")
+        return said[-1].lower() if said else None
+
 
 class Builder:
     def __init__(self):
@@ -105,7 +134,26 @@ class Builder:
         if found:
             self.pop_to(found)
 
+    def foreign(self) -> int:
+        """The place of the open svg or math element, if what comes next is not HTML, or else 0."""
+        if any(self.counts.get(x) for x in FOREIGN):
+            for at in range(len(self.open) - 1, 0, -1):
+                if self.open[at].tag in FOREIGN:
+                    return at
+                if self.open[at].tag in INTEGRATION:
+                    break
+        return 0
+
     def start(self, tag: str, attributes: str, closed: bool) -> None:
+        while (at := self.foreign()) and tag in BREAKOUT:
+            self.pop_to(at)
+        if at:
+            node = Node(tag, attributes)
+            self.open[-1].children.append(node)
+            if not closed:
+                self.open.append(node)
+                self.counts[tag] = self.counts.get(tag, 0) + 1
+            return
         if tag in ("html", "body"):
             if tag == "body":
                 self.end(frozenset(["head"]), frozenset())
@@ -121,7 +169,7 @@ class Builder:
             self.end(*ENDS[tag])
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
-        if tag not in VOID and not (closed and tag in ("svg", "math")):
+        if tag not in VOID and not (closed and tag in FOREIGN):
             self.open.append(node)
             self.counts[tag] = self.counts.get(tag, 0) + 1
 
@@ -156,16 +204,21 @@ def build(page: str) -> Node:
         if not m:
             break
         at = m.end()
-        if m[1]:
+        if page.startswith("<![CDATA[", stop) and builder.foreign():
+            close = page.find("]]>", stop)
+            builder.text(page[stop + 9 : close if close >= 0 else size])
+            at = close + 3 if close >= 0 else size
+        elif m[1]:
             builder.finish(m[1].lower())
         elif m[2]:
             tag = m[2].lower()
+            raw_text = tag in RAW and not builder.foreign()
             builder.start(tag, m[3], m[3].endswith("/"))
-            if tag in RAW:
+            if raw_text:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 raw = page[at : close.start() if close else size]
-                if tag == "textarea":
-                    builder.text(entities.unescape(raw))
+                if tag in ("textarea", "xmp"):
+                    builder.text(entities.unescape(raw) if tag == "textarea" else raw)
                 at = close.end() if close else size
                 builder.finish(tag)
     return builder.root
@@ -236,10 +289,13 @@ def align(rows: list[list[str]]) -> list[str]:
 def render(root: Node) -> str:
     flow, flows, tables, lists = Flow(), [], [], []
     pre, indents = 0, []
-    stack: list[tuple] = [(root, False)]
+    # whether text is visible, and what text is: of "html", "math", an "svg" (no text) or a "label" in one
+    stack: list[tuple] = [(root, False, True, "html")]
     while stack:
-        node, leaving = stack.pop()
+        node, leaving, visible, mode = stack.pop()
         if isinstance(node, str):
+            if not visible or mode == "svg":
+                continue
             if pre:
                 for k, line in enumerate(node.split("\n")):
                     if k:
@@ -252,14 +308,34 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if node.hidden():
+            if node.hidden() or mode != "html" and node.foreign_hidden():
+                continue
+            if node.attributes or mode == "math":
+                said = node.visibility("svg" if tag == "svg" else mode)
+                if said == "collapse" and tag in ROWS:
+                    continue
+                visible = visible if said is None else said in ("visible", "initial")
+            if tag in FOREIGN and mode != "label":
+                mode = tag
+            elif mode == "svg" and tag == "text":
+                mode = "label"
+            elif mode in ("svg", "label") and tag == "foreignobject":
+                mode = "html"
+            if mode != "html":
+                children = node.children
+                if tag in PARTS_APART:
+                    children = [x for child in children for x in (" ", child)] + [" "]
+                elif tag in APART:
+                    children = [" ", *children, " "]
+                stack.extend((x, False, visible, mode) for x in reversed(children))
                 continue
             if tag == "br":
                 if flow.parts:
                     flow.line()
                 continue
             if tag == "input":
-                flow.text(node.attribute("value") or node.attribute("placeholder") or " ")
+                if visible:
+                    flow.text(node.attribute("value") or node.attribute("placeholder") or " ")
                 continue
             if tag in BLOCK:
                 flow.block(tag in SPACED and not (tag in LISTS and lists))
@@ -271,10 +347,11 @@ def render(root: Node) -> str:
                 lists.append([tag, first])
             elif tag == "li":
                 kind = lists[-1] if lists else ["ul", 0]
-                flow.marker = f"{kind[1]}. " if kind[0] == "ol" else "- "
+                marker = f"{kind[1]}. " if kind[0] == "ol" else "- "
                 kind[1] += 1
-                indents.append(len(flow.marker))
-                flow.indent += " " * len(flow.marker)
+                indents.append(len(marker))
+                flow.indent += " " * len(marker)
+                flow.marker = marker if visible else ""
             elif tag == "table":
                 tables.append([])
             elif tag == "tr" and tables:
@@ -282,13 +359,13 @@ def render(root: Node) -> str:
             elif tag in ("td", "th") and tables:
                 flows.append(flow)
                 flow = Flow()
-            elif tag == "pre":
+            elif tag in ("pre", "xmp"):
                 pre += 1
             elif tag == "blockquote" or tag == "dd":
                 flow.indent += "  "
             if node.children or tag in BLOCK or tag in ("tr", "td", "th"):
-                stack.append((node, True))
-                stack.extend((x, False) for x in reversed(node.children))
+                stack.append((node, True, visible, mode))
+                stack.extend((x, False, visible, mode) for x in reversed(node.children))
             continue
         if tag in ("td", "th") and tables:
             flow.line()
@@ -296,6 +373,9 @@ def render(root: Node) -> str:
             if not tables[-1]:
                 tables[-1].append([])
             tables[-1][-1].append(cell)
+        elif tag == "tr" and tables and not visible:
+            if tables[-1] and not any(tables[-1][-1]):
+                tables[-1].pop()
         elif tag == "table":
             flow.line()
             for line in align(tables.pop()):
@@ -307,7 +387,7 @@ def render(root: Node) -> str:
         elif tag == "li":
             flow.marker = ""
             flow.indent = flow.indent[: len(flow.indent) - indents.pop()]
-        elif tag == "pre":
+        elif tag in ("pre", "xmp"):
             pre -= 1
         elif tag == "blockquote" or tag == "dd":
             flow.indent = flow.indent[:-2]

@@ -249,6 +249,22 @@ CASES = [
 ]
 
 
+HIDE, SHOW = "style='visibility: hidden'", "style='visibility:visible'"
+CASES += [
+    ("a<svg width=9><title>no</title><defs><text>no</text></defs><g>no<path d='x'/><text x=1>Label <tspan>one</tspan></text><text>two</text></g></svg>b", "a Label one two b"),
+    ("<svg><style>text{}</style><text display=none>no</text><text visibility=hidden>no<tspan visibility=visible>yes</tspan></text></svg>", "yes"),
+    ("<svg/><p>x<svg><text><![CDATA[a < b]]></text><title/></svg>y", "x a < b y"),
+    ("<svg><g><text>t</text><p>one</svg><p>two", "t\n\none\n\ntwo"),
+    ("<svg><foreignObject><p>one<div>two</div></foreignObject>no<text>three</text></svg>", "one\n\ntwo\nthree"),
+    ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation>no</annotation></semantics></math>.", "so x= 1 2 ."),
+    ("a<xmp> <b>x</b> &amp;\n  y</xmp>b", "a\n\n <b>x</b> &amp;\n  y\n\nb"),
+    (f"<div {HIDE}>no<p>no<b {SHOW}>yes <i>too</i></b> no<input value=no></div>end", "yes too\n\nend"),
+    (f"<ul><li {HIDE}>no<p {SHOW}>yes</p><li>b</ul>", "  yes\n\n- b"),
+    (f"<table><tr {HIDE}><td>no<td>no<tr><td {HIDE}>no<td>x<tr style='visibility:collapse'><td {SHOW}>no</table>", "  x"),
+    ("<p style='visibility:hidden;visibility:visible'>yes<b style='display:none'><i style='visibility:visible'>no", "yes"),
+]
+
+
 @pytest.mark.parametrize("page, text", CASES)
 def test_rendering(page, text):
     assert html_text.visible_text(page) == text
