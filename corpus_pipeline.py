@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm.bpe_codec import codec_digests
-from salesflow.llm.common import keep_one, table
+from salesflow.llm.common import fresh_name, keep_one, table
 from salesflow.llm.decontamination import decontaminate
 from salesflow.llm.pii import redact_pii
 from salesflow.llm.simhash import near_duplicates
@@ -25,9 +25,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each group of linked fingerprints, the document with the least id."""
-    groups = near_duplicates(docs, shingle=3, bits=3)
-    return keep_one(docs, groups.where("doc_id = component_id").select("doc_id"), "doc_id")
+    """Keeps, of each group of linked fingerprints, the row with the least id; of an id's texts that with the least hash."""
+    key = fresh_name(docs, "_key")
+    marked = docs.withColumn(key, F.struct(
+        F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")
+    ))
+    groups = near_duplicates(marked, shingle=3, bits=3, id_col=key)
+    return keep_one(marked, groups.where(F.col(key) == F.col("component_id")).select(key), key).drop(key)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

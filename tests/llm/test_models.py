@@ -193,6 +193,21 @@ def test_pipeline_equals_brute_force(spark, benchmark):
     assert helpers.rows(corpus_pipeline.run(spark, SF), "doc_id", "n_tokens", "decoded_sha256") == expected
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    copy = " ".join(f"word{i}" for i in range(60))
+    extra = [(40, copy), (41, copy), (41, "quite another text that stands alone here"), (None, copy), (None, "alone without an id, and with some words"), (None, "alone without an id, and with some words")]
+    given = [(i, t) for i, t, *_ in helpers.EDGES] + extra
+    order = sorted(range(len(given)), key=lambda n: (given[n][0] is None, given[n][0] or 0))
+    prints = [simhash.fingerprint(given[n][1] or "", 3) % 2**64 for n in order]
+    root = helpers.simhash_components(list(range(len(order))), prints)
+    rows = [(i, t, None, "s", None if t is None else len(t)) for i, t in given]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = helpers.rows(corpus_pipeline.near_duplicate_stage(spark, docs, SF), "doc_id", "text")
+    assert left == sorted((given[order[n]] for n in range(len(order)) if root[n] == n), key=str)
+    assert (41, copy) not in left and (40, copy) in left and (None, copy) not in left
+    assert sum(i == 1 for i, _ in left) == 2 and sum(i is None for i, _ in left) == 2
+
+
 def test_stages_take_edge_rows(spark):
     columns = "doc_id long, text string, lang string, source string, n_chars long"
     rows = [(i, t, None, "s", None if t is None else len(t)) for i, t, *_ in helpers.EDGES]
