@@ -211,7 +211,8 @@ def fit_document(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int =
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, size: int) -> tuple[DataFrame, dict[int, int]]:
-    """(text, toxic) of at most `size` labelled documents of either label that are not held out, each text once;
+    """(text, toxic) of at most `size` labelled documents of either label that are not held out, one text (that of
+    the least hash) of each and each text once;
     and how many labelled documents of either label there are. The sample's ids are few, so they are broadcast."""
     one = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(
         (F.max(label_col) > 0).cast("int").alias("toxic")
@@ -220,6 +221,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     part = lambda t: one.where(F.col("toxic") == t).orderBy(F.xxhash64("_id"), "_id").limit(size)
     ids = F.broadcast(part(0).unionByName(part(1)))
     texts = id_and_text(docs, id_col, text_col).join(ids, F.col(id_col) == F.col("_id"))
+    texts = texts.groupBy("_id").agg(F.min(F.struct(F.xxhash64("text").alias("_hash"), "text", "toxic")).alias("x")).select("x.text", "x.toxic")
     return texts.groupBy(F.xxhash64("text").alias("_key")).agg(F.min(F.struct("text", "toxic")).alias("x")).select("x.text", "x.toxic"), totals
 
 

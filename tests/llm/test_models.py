@@ -166,6 +166,15 @@ def test_toxicity_edges(spark):
     scored = toxicity.score_toxicity(helpers.edges(spark), model)
     assert helpers.rows(scored, "doc_id") == sorted(((i,) for i, *_ in helpers.EDGES), key=str)
     kept = toxicity.drop_toxic(helpers.edges(spark), model)
+def test_sample_has_one_text_of_an_id(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, f"text {i} {n}") for i in ids for n in range(300 if i == ids[0] else 1)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    sample, totals = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 5)
+    taken, _ = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 4000)
+    assert sample.count() == 10 and sum(totals.values()) == len(ids) == taken.count()
+
+
     assert kept.columns == helpers.edges(spark).columns
     assert kept.count() == scored.where("predicted = 0").count()
     assert toxicity.score_toxicity(helpers.empty(spark), model).count() == 0
