@@ -1,7 +1,8 @@
 """Operator 1, benchmark decontamination by random-walk embedding, bit sampling and exact edit verification.
 
 A benchmark item leaks into a document if some stretch of the document is within (1 - similarity) * n word edits of
-the item's n words. Words are compared without case and outer punctuation.
+the item's n words. Words are compared without case and outer punctuation; in scripts without spaces between
+words, each character is a word. Items of fewer than MIN_WORDS words are looked up as they are.
 
 Windows that start at a word of the benchmark and are as long as the items of one length class are walked as in the
 CGK embedding: a pointer reads a word, and a random bit of the step and the word says whether it moves on. Strings
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 
 from .common import filter_texts, id_and_text
 
-#: Items with fewer words can't be told from common phrases, and are left out.
+#: Items with fewer words are not walked, but found where they stand unchanged.
 MIN_WORDS = 5
 SIMILARITY = 0.8
 #: Walks, and sampled places of each: over 0.95 of random items edited up to the limit are found (tests).
@@ -49,15 +51,34 @@ PAIR_BITS = 22
 #: Words whose numbers a worker remembers, and words that it walks over at once.
 MEMO = 500_000
 GROUP = 1 << 21
+#: Characters of scripts without spaces between words: Thai, Lao, Burmese, Khmer, kana and Han.
+UNSPACED = (
+    "\u0e00-\u0e4e\u0e80-\u0ece\u0edc-\u0eff\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+MARKS = "".join(c for c in map(chr, [*range(0xE00, 0x10A0), *range(0x1780, 0x17D4), 0x3099, 0x309A]) if unicodedata.category(c)[0] == "M")
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
+WORD = re.compile(f"[{UNSPACED}][{MARKS}]*|[^\\s{UNSPACED}]+")
+SPACED_WORD = re.compile(r"\S+")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
 def normal(word: str) -> str:
-    return word.lower() if word.isalpha() else EDGES.sub("", word.lower())
+    if word.isalpha() or len(word) > 1 and word[0].isalpha() and ANY_UNSPACED.match(word):
+        return word.lower()
+    return EDGES.sub("", word.lower())
+
+
+def is_unspaced(text: str) -> bool:
+    return not text.isascii() and ANY_UNSPACED.search(text) is not None
+
+
+def raw_words(text: str) -> list[str]:
+    return WORD.findall(text) if is_unspaced(text) else text.split()
 
 
 def item_words(text: str) -> list[str]:
-    return [x for x in map(normal, text.split()) if x]
+    return [x for x in map(normal, raw_words(text)) if x]
 
 
 class Numbers(dict):
@@ -110,7 +131,9 @@ def walk(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, multipliers: np.
 
 
 def piece_cuts(n: int) -> np.ndarray:
-    """Where the pieces of an item of n words start, and n."""
+    """Where the pieces of an item of n words start, and n; short items have none."""
+    if n < MIN_WORDS:
+        return np.zeros(1, np.int64)
     parts = -(-n // PIECE)
     return np.arange(parts + 1) * n // parts
 
@@ -136,6 +159,7 @@ class Index:
     similarity: float
     pairs: np.ndarray
     counts: list[Counter]
+    short: dict[int, tuple[list[np.ndarray], list[list[int]]]]  # by length: codes of each word, items of the last
 
     def allowed(self, n: int) -> int:
         return math.floor((1 - self.similarity) * n + 1e-9)
@@ -160,9 +184,20 @@ class Index:
         multipliers = random.integers(0, 1 << 63, (REPEATS, max(steps, 1)), np.uint64) * np.uint64(2) + np.uint64(1)
         pairs = np.zeros(1 << PAIR_BITS, bool)
         for x in coded:
-            pairs[pair_places(x)] = True
+            if len(x) >= MIN_WORDS:
+                pairs[pair_places(x)] = True
+        short = {}
+        for n in range(1, MIN_WORDS):
+            mine = [i for i, x in enumerate(coded) if len(x) == n]
+            if not mine:
+                continue
+            state, levels = np.zeros(len(mine), np.int64), []
+            for j in range(n):
+                codes, state = np.unique(state * (len(numbers) + 1) + [coded[i][j] for i in mine], return_inverse=True)
+                levels.append(codes)
+            short[n] = levels, [[i for i, x in zip(mine, state.tolist()) if x == k] for k in range(len(levels[-1]))]
         counts = [Counter(x.tolist()) for x in coded]
-        made = cls(numbers, [i for i, _ in items], coded, owners, inside, sizes, classes, multipliers, similarity, pairs, counts)
+        made = cls(numbers, [i for i, _ in items], coded, owners, inside, sizes, classes, multipliers, similarity, pairs, counts, short)
         flat = np.concatenate([*coded, np.zeros(1, np.int64)]) if coded else np.zeros(1, np.int64)
         offsets = np.cumsum([0, *map(len, coded)])
         for c in classes:
@@ -208,6 +243,23 @@ class Index:
                     yield np.repeat(starts[alive[hit]], count), pieces[np.repeat(low[hit], count) + nth]
 
 
+    def short_items(self, ids: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, item, start) of the first place of each short item in each document."""
+        for n, (levels, items) in self.short.items():
+            at = np.flatnonzero(ids > 0)
+            at = at[at + n <= ends[at]]
+            state = np.zeros(len(at), np.int64)
+            for j, codes in enumerate(levels):
+                code = state * (len(self.numbers) + 1) + ids[at + j]
+                place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                same = codes[place] == code
+                at, state = at[same], place[same]
+            _, first = np.unique(owner[at] * len(items) + state, return_index=True)
+            for x in first.tolist():
+                for i in items[state[x]]:
+                    yield int(owner[at[x]]), i, int(at[x])
+
+
 def best_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     """(edits, start, end) of the stretch of `words` nearest to the item: the first to end of the nearest ones, and
     of those that end there the shortest one."""
@@ -294,6 +346,9 @@ def find_leaks(texts: list[str], index: Index, numbers: Numbers) -> list[tuple[i
                 found_here[key] = (edits, a, b)
             if edits == 0 and len(item) <= PIECE:
                 covered[i] = at + len(item) - 1
+        for g, i, at in index.short_items(ids, ends, owner):
+            a = at - int(ends[at]) + len(group[g][1])
+            found_here[g, i] = (0, a, a + len(index.items[i]))
         for (g, i), (edits, a, b) in found_here.items():
             text, _, places = group[g]
             found[text, i] = (edits, int(places[a]), int(places[b - 1]))
@@ -301,7 +356,7 @@ def find_leaks(texts: list[str], index: Index, numbers: Numbers) -> list[tuple[i
 
     found_here: dict[tuple[int, int], tuple[int, int, int]] = {}
     for t, text in enumerate(texts):
-        raw = text.split()
+        raw = raw_words(text)
         ids = np.fromiter(map(numbers.__getitem__, raw), np.int64, len(raw))
         places = np.flatnonzero(ids >= 0)
         if len(places):
@@ -315,17 +370,17 @@ def find_leaks(texts: list[str], index: Index, numbers: Numbers) -> list[tuple[i
     spans: dict[int, list[tuple[int, int]]] = {}
     for (t, i), (edits, a, b) in sorted(found.items()):
         if t not in spans:
-            spans[t] = [m.span() for m in re.finditer(r"\S+", texts[t])]
+            spans[t] = [m.span() for m in (WORD if is_unspaced(texts[t]) else SPACED_WORD).finditer(texts[t])]
         out.append((t, i, edits, spans[t][a][0], spans[t][b][1]))
     return out
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[object, list[str]]]]:
-    """The benchmark's items with MIN_WORDS words or more, block by block through the driver."""
+    """The benchmark's items that have words, block by block through the driver."""
     block, size = [], 0
     for row in id_and_text(benchmark, id_col, text_col).toLocalIterator():
         words = item_words(row[1])
-        if len(words) >= MIN_WORDS:
+        if words:
             block.append((row[0], words))
             size += len(row[1])
         if len(block) >= BLOCK or size >= BLOCK_BYTES:
@@ -343,7 +398,7 @@ def benchmark_leaks(
 
     Columns: the id, the item's id, edits (words), n_words (of the item), similarity (1 - edits / n_words) and the
     stretch's start and end in code points of the text. Of equally near stretches the first is returned. Null and
-    empty texts hold no item; items with fewer than MIN_WORDS words are left out; an empty benchmark gives no rows;
+    empty texts hold no item; items without words are left out; an empty benchmark gives no rows;
     null and repeated ids stay rows of their own; other columns are not read, so their names can't clash.
     """
     pairs = id_and_text(docs, id_col, text_col)

@@ -113,6 +113,19 @@ def test_blocks_and_edges(spark, monkeypatch):
     assert decontamination.benchmark_leaks(helpers.empty(spark), items).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "too short"), (2, "Paris"), (3, "a b c d"), (4, "二十世紀最偉大的科學家是誰"), (5, "เมืองหลวงของประเทศไทยคือที่ไหน"), (6, "too short"), (7, "世紀")]
+    texts = {1: "It is TOO short, too short. Paris", 2: "a b c x d; short too parisian", 3: "x a b (c) d", 4: "問：二十世紀最伟大的科學家是誰？", 5: "ถาม เมืองหลวงของประเทศไทยคือที่ไหน ตอบ", 6: "二十年後"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.edits, texts[r.doc_id][r.start : r.end]) for r in decontamination.benchmark_leaks(docs, benchmark).collect()}
+    assert found == {
+        (1, 1): (0, "TOO short,"), (1, 6): (0, "TOO short,"), (1, 2): (0, "Paris"), (3, 3): (0, "a b (c) d"),
+        (4, 4): (1, "二十世紀最伟大的科學家是誰"), (4, 7): (0, "世紀"), (5, 5): (0, "เมืองหลวงของประเทศไทยคือที่ไหน"),
+    }
+    assert helpers.rows(decontamination.decontaminate(docs, benchmark), "doc_id") == [(2,), (6,)]
+
+
 # --- toxicity ---
 
 
@@ -153,6 +166,15 @@ def test_held_out_accuracy(spark):
     assert any("idiot" in w for w in words) and len(words) < 200
 
 
+def test_sample_has_one_text_of_an_id(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, f"text {i} {n}") for i in ids for n in range(300 if i == ids[0] else 1)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    sample, totals = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 5)
+    taken, _ = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 4000)
+    assert sample.count() == 10 and sum(totals.values()) == len(ids) == taken.count()
+
+
 def test_held_out_labels_do_not_matter(spark):
     docs, labels = table(spark, "documents"), table(spark, "labels")
     turned = labels.withColumn("toxic", toxicity.F.expr("CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 = 0 THEN 1 - toxic ELSE toxic END"))
@@ -166,15 +188,6 @@ def test_toxicity_edges(spark):
     scored = toxicity.score_toxicity(helpers.edges(spark), model)
     assert helpers.rows(scored, "doc_id") == sorted(((i,) for i, *_ in helpers.EDGES), key=str)
     kept = toxicity.drop_toxic(helpers.edges(spark), model)
-def test_sample_has_one_text_of_an_id(spark):
-    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
-    docs = spark.createDataFrame([(i, f"text {i} {n}") for i in ids for n in range(300 if i == ids[0] else 1)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
-    sample, totals = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 5)
-    taken, _ = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 4000)
-    assert sample.count() == 10 and sum(totals.values()) == len(ids) == taken.count()
-
-
     assert kept.columns == helpers.edges(spark).columns
     assert kept.count() == scored.where("predicted = 0").count()
     assert toxicity.score_toxicity(helpers.empty(spark), model).count() == 0
