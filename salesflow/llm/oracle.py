@@ -27,6 +27,51 @@ SELECT t.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BI
 FROM t LEFT JOIN k ON k.doc_id = t.doc_id
 """
 
+#: Whole vectors in fixed point; one whose components are not all finite is left out.
+_FIXED = """
+SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor({scale} * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+"""
+
+#: Assignments by scanning every entry, means by grouping; a round is two of the clauses.
+_ASSIGN = """a{t} AS MATERIALIZED (SELECT vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+  SELECT v.vec_id, v.part, b.entry, list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM v JOIN b{t} b USING (part)) GROUP BY vec_id, part)"""
+_MEANS = """b{u} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{t} b LEFT JOIN (
+  SELECT part, entry, list(s ORDER BY place) AS x FROM (
+    SELECT part, entry, place, CAST(floor(sum(c) / count(*)) AS BIGINT) AS s
+    FROM (SELECT v.part, a.entry, unnest(v.x) AS c, unnest(range(1, len(v.x) + 1)) AS place FROM v JOIN a{t} a USING (vec_id, part))
+    GROUP BY part, entry, place) GROUP BY part, entry) m USING (part, entry))"""
+VECTOR_CODES = (
+    "WITH r AS MATERIALIZED (" + _FIXED.format(scale=256) + """),
+v AS MATERIALIZED (SELECT vec_id, k AS part, x[k * (len(x) // 16) + 1 : (k + 1) * (len(x) // 16)] AS x
+  FROM (SELECT vec_id, x, unnest(range(0, 16)) AS k FROM r)),
+b0 AS MATERIALIZED (SELECT part, n - 1 AS entry, x FROM v
+  JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS n FROM r QUALIFY n <= 64) USING (vec_id)),
+"""
+    + ",\n".join(_ASSIGN.format(t=t) + ",\n" + _MEANS.format(t=t, u=t + 1) for t in (0, 1))
+    + ",\n"
+    + _ASSIGN.format(t=2)
+    + """,
+o AS (SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id),
+s AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) AS h
+  FROM (SELECT part, entry, unnest(x) AS c, unnest(range(1, len(x) + 1)) AS place FROM b2))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256
+FROM o JOIN r USING (vec_id), s
+"""
+)
+
+TOP_K = (
+    "WITH r AS MATERIALIZED (" + _FIXED.format(scale=1024) + """)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, p.score,
+    CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY p.score DESC, c.vec_id) AS INTEGER) AS rank
+  FROM r q JOIN r c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id,
+    LATERAL (SELECT list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2]))::BIGINT AS score) p)
+WHERE rank <= 10
+"""
+)
+
 #: The base patterns as the contract states them, and that of account numbers.
 _PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -81,4 +126,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_repeated_passages": REPEATS,
     "op6_pii": PII,
     "op7_quality_rules": QUALITY,
+    "op11_vector_codes": VECTOR_CODES,
+    "op12_top_k": TOP_K,
 }

@@ -18,7 +18,10 @@ from .repeats import without_repeats
 from .secrets import scan_secrets
 from .simhash import near_duplicates
 from .token_counts import token_counts
+from .top_k import top_hundredth
 from .toxicity import toxicity
+from .vector_codes import compressed_codes
+from .whitening import whitened_components
 
 
 def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +65,18 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed_codes(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_hundredth(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": leaks,
     "op2_token_count": token_count,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash_groups,
     "op9_html_text": html_text,
     "op10_byte_bpe": byte_bpe,
+    "op11_vector_codes": vector_codes,
+    "op12_top_k": nearest_vectors,
+    "op13_whitening": whitening,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
