@@ -14,15 +14,28 @@ from salesflow.operators.catalog import (
     create_database,
     create_partitioned_sales_table,
     list_partitions,
+    drop_partitions,
     list_tables,
     partition_columns,
+    partition_values,
     file_listing,
     partition_files,
     table_location,
     use_database,
     using_database,
 )
-from salesflow.operators.inspect import column_names, describe_table, partition_balance, schema_text
+from salesflow.operators.counts import StepCounts
+from salesflow.operators.exact_sums import exact_mean, exact_sum, exact_totals, merged_totals
+from salesflow.operators.generations import generation_table, next_generation, published_generation
+from salesflow.operators.inspect import (
+    column_names,
+    describe_table,
+    partition_balance,
+    partition_count,
+    schema_text,
+    whole_partition_balance,
+)
+from salesflow.operators.keys import with_keys_of, without_keys_of
 from salesflow.operators.ordering import first_rows, sort_rows
 from salesflow.operators.sinks import (
     distribute,
@@ -36,6 +49,20 @@ from salesflow.operators.sinks import (
 from salesflow.operators.transforms import clean_sales, with_date_parts, with_partition_values
 
 __all__ = [
+    "drop_partitions",
+    "partition_values",
+    "StepCounts",
+    "exact_mean",
+    "exact_sum",
+    "exact_totals",
+    "merged_totals",
+    "generation_table",
+    "next_generation",
+    "published_generation",
+    "partition_count",
+    "whole_partition_balance",
+    "with_keys_of",
+    "without_keys_of",
     "category_summary",
     "category_summary_from_totals",
     "clean_sales",

@@ -8,12 +8,17 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesflow.functions.names import quoted_text
 from salesflow.schema import SALES_PARTITION_COLUMNS, partitioned_sales_ddl
+from salesflow.sources.listing import folder_value
+
+#: Partitions that one statement drops.
+DROP_BATCH = 200
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
     """Create the database unless it exists."""
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {quoted_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
     return name
 
@@ -51,6 +56,26 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
+def partition_values(spark: SparkSession, table: str) -> DataFrame:
+    """C4 as columns: the values of each partition as STRING, NULL for the folder of NULL."""
+    names = list_partitions(spark, table)
+    return names.select(*(folder_value(F.col("partition"), c).alias(c) for c in partition_columns(spark, table)))
+
+
+def drop_partitions(spark: SparkSession, table: str, values: DataFrame) -> int:
+    """Drop the partitions with the values of each row of ``values`` (all partition columns), where they exist; how many
+    were named. The loop is over catalog entries, DROP_BATCH in a statement: only the driver can drop them."""
+
+    def spec(row) -> str:
+        given = row.asDict()
+        return ", ".join(f"`{c}` = {'null' if v is None else quoted_text(str(v))}" for c, v in given.items())
+
+    specs = [f"PARTITION ({spec(r)})" for r in values.collect()]
+    for at in range(0, len(specs), DROP_BATCH):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[at : at + DROP_BATCH])}")
+    return len(specs)
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     """Names of a table's partition columns, from the catalog."""
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
@@ -92,3 +117,8 @@ def table_location(spark: SparkSession, table: str) -> str:
     """Storage folder of a catalog table, from its extended description (metadata only)."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").select("data_type")
     return rows.first()[0]
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """The table's own properties, from the catalog."""
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}

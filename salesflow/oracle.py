@@ -61,6 +61,10 @@ _TRANSFORMED = f"""transformed AS (
 )"""
 
 
+#: The exact sum of amounts, rounded once: whole numbers of 2**-50, added up and read back as text.
+_EXACT = "CAST(CAST(sum(CAST(amount * 1125899906842624 AS HUGEINT)) AS VARCHAR) AS DOUBLE) / 1125899906842624"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -134,6 +138,22 @@ UNION ALL SELECT 'sample', concat_ws('|', id, sale_date, product, category, year
     + f"SELECT category, count(*) AS total_sales, {_r2('sum(amount)')} AS total_revenue, "
     f"{_r2('avg(amount)')} AS avg_amount, year, month "
     "FROM transformed GROUP BY year, month, category ORDER BY year, month, category",
+    "sales_load_once": _with(_SALES, _PARTS) + "SELECT * FROM parts",
+    "sales_folder_listing": _with(_SALES, _PARTS)
+    + """SELECT 1::INTEGER AS level, count(DISTINCT category) AS folders, true AS empty_files_listed FROM parts
+UNION ALL SELECT 2, count(DISTINCT (category, year)), true FROM parts
+UNION ALL SELECT 3, count(DISTINCT (category, year, month)), true FROM parts""",
+    "sales_partition_count": _with(_SALES) + "SELECT 8::BIGINT AS partitions, 1::BIGINT AS filled, count(*) AS total_rows FROM sales",
+    "sales_aggregated_exact": _with(_SALES, _PARTS)
+    + f"SELECT category, year, month, {_EXACT} AS total_amount, count(id) AS total_sales, {_EXACT} / count(amount) AS avg_amount "
+    "FROM parts GROUP BY category, year, month",
+    "sales_category_exact": _with(_SALES)
+    + f"SELECT category, count(*) AS total_sales, {_EXACT} AS total_revenue, {_EXACT} / count(amount) AS avg_amount, "
+    "min(amount) AS min_amount, max(amount) AS max_amount FROM sales GROUP BY category",
+    "sales_etl_counts": _with(_SALES, _TRANSFORMED)
+    + """SELECT 'extract' AS step, count(*) AS rows FROM sales UNION ALL SELECT 'transform', count(*) FROM transformed
+UNION ALL SELECT 'by_category', count(DISTINCT category) FROM transformed
+UNION ALL SELECT 'by_month', count(*) FROM (SELECT DISTINCT year, month, category FROM transformed)""",
     "sales_tables": _with(_SALES, _TRANSFORMED)
     + """SELECT 'sales_by_category' AS table_name, count(DISTINCT category) AS row_count FROM transformed
 UNION ALL SELECT 'sales_by_month', count(*) FROM (SELECT DISTINCT year, month, category FROM transformed)
@@ -141,3 +161,12 @@ UNION ALL SELECT 'sales_partitioned', count(*) FROM sales
 UNION ALL SELECT 'sales_staging', count(*) FROM sales
 UNION ALL SELECT 'sales_transformed', count(*) FROM transformed""",
 }
+_EXACT_SUMMARY = f"count(*) AS total_sales, {_r2(_EXACT)} AS total_revenue, {_r2(f'({_EXACT} / count(amount))')} AS avg_amount"
+ORACLE_SQL |= {
+    "sales_etl_incremental": ORACLE_SQL["sales_transformed"],
+    "sales_etl_incremental_by_category": _with(_SALES, _TRANSFORMED)
+    + f"SELECT category, {_EXACT_SUMMARY}, min(amount) AS min_amount, max(amount) AS max_amount FROM transformed GROUP BY category",
+    "sales_etl_incremental_by_month": _with(_SALES, _TRANSFORMED)
+    + f"SELECT category, {_EXACT_SUMMARY}, year, month FROM transformed GROUP BY year, month, category",
+    "sales_etl_published": ORACLE_SQL["sales_by_month"],
+}

@@ -2,6 +2,7 @@
 
 from salesflow.plans.aggregate_job import aggregate_sales, run_aggregate_job
 from salesflow.plans.etl import EtlTables, category_report, extract, load, monthly_report, run_etl, transform
+from salesflow.plans.incremental_etl import IncrementalRun, changed_partitions, run_incremental_etl, source_manifest
 from salesflow.plans.inspection import TableReport, inspect_table
 from salesflow.plans.load import (
     LoadedTables,
@@ -11,8 +12,20 @@ from salesflow.plans.load import (
     stage_sales,
     verify_load,
 )
+from salesflow.plans.ledger import LedgerTables, drop_failed_loads, load_once, loaded_files
+from salesflow.plans.publish import publish_etl, published_tables
 
 __all__ = [
+    "IncrementalRun",
+    "LedgerTables",
+    "changed_partitions",
+    "drop_failed_loads",
+    "load_once",
+    "loaded_files",
+    "publish_etl",
+    "published_tables",
+    "run_incremental_etl",
+    "source_manifest",
     "EtlTables",
     "LoadedTables",
     "TableReport",

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from salesflow.operators import (
+    StepCounts,
     category_summary_from_totals,
     clean_sales,
     create_database,
@@ -20,6 +21,9 @@ from salesflow.session import shared_root
 from salesflow.sources import read_partitioned
 
 
+ETL_TABLE_NAMES = ("sales_transformed", "sales_by_category", "sales_by_month")
+
+
 @dataclass(frozen=True)
 class EtlTables:
     database: str
@@ -28,6 +32,11 @@ class EtlTables:
     by_month: str
 
 
+def etl_tables(database: str) -> EtlTables:
+    """The names of the three tables in a database."""
+    return EtlTables(database, *(f"{database}.{name}" for name in ETL_TABLE_NAMES))
+
+
 def extract(spark: SparkSession, source_root: str, id_type: str = "int", pattern: str | None = None) -> DataFrame:
     """The partitioned sales files with INT year and month. Lazy: no count or show. The root is
     read by partition discovery, or by a wildcard ``pattern`` (see ``read_partitioned``)."""
@@ -44,8 +53,10 @@ def load(
     database: str,
     distribute_by: str = "rebalance",
     writers: int | None = None,
+    tables: EtlTables | None = None,
+    counts: StepCounts | None = None,
 ) -> EtlTables:
-    """C1, K3, G3, K4, G4, K3.
+    """C1, K3, G3, K4, G4, K3, into ``tables`` (default: the three names in ``database``).
 
     * ``sales_transformed``, partitioned by category and price band, rebalanced by both. Where
       the source's splits are known to hold one category each, ``distribute_by="none"`` saves
@@ -56,18 +67,14 @@ def load(
       The monthly table has one row per partition value: spread over writer tasks.
     """
     create_database(spark, database)
-    tables = EtlTables(
-        database,
-        f"{database}.sales_transformed",
-        f"{database}.sales_by_category",
-        f"{database}.sales_by_month",
-    )
-    save_table(transformed, tables.transformed, partition_by=TRANSFORMED_PARTITION_COLUMNS, distribute_by=distribute_by)
+    tables = tables or etl_tables(database)
+    counted = counts.watch if counts else lambda df, step: df
+    save_table(counted(transformed, "transform"), tables.transformed, partition_by=TRANSFORMED_PARTITION_COLUMNS, distribute_by=distribute_by)
     shared_root(spark)  # checkpoint() needs the session's checkpoint folder to be set
     totals = monthly_totals(transformed).checkpoint(eager=True)
-    save_table(category_summary_from_totals(totals), tables.by_category)
+    save_table(counted(category_summary_from_totals(totals), "by_category"), tables.by_category)
     save_table(
-        monthly_summary_from_totals(totals),
+        counted(monthly_summary_from_totals(totals), "by_month"),
         tables.by_month,
         partition_by=MONTHLY_PARTITION_COLUMNS,
         distribute_by="spread",
@@ -86,10 +93,16 @@ def run_etl(
     pattern: str | None = None,
     distribute_by: str = "rebalance",
     writers: int | None = None,
+    tables: EtlTables | None = None,
+    counts: StepCounts | None = None,
 ) -> EtlTables:
-    """L3: extract, transform, load, in strict sequence."""
+    """L3: extract, transform, load, in strict sequence. ``counts`` gathers the rows of each step (G5) while the tables
+    are written, without a scan of its own."""
     rows = extract(spark, source_root, id_type, pattern)
-    return load(spark, transform(rows, premium_from, mid_from), database, distribute_by, writers)
+    if counts:
+        rows = counts.watch(rows, "extract")
+    made = transform(rows, premium_from, mid_from)
+    return load(spark, made, database, distribute_by, writers, tables, counts)
 
 
 def category_report(spark: SparkSession, tables: EtlTables) -> DataFrame:

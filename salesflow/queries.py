@@ -14,24 +14,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.functions import round_money, title_case
 from salesflow.operators import (
+    StepCounts,
     clean_sales,
     describe_table,
+    drop_partitions,
+    exact_mean,
+    exact_sum,
+    exact_totals,
     file_listing,
     first_rows,
+    insert_into,
     list_partitions,
     list_tables,
+    merged_totals,
     overwrite_partitions,
     overwrite_path_partitions,
     partition_balance,
     partition_files,
+    partition_values,
     row_count,
     save_table,
     table_location,
+    whole_partition_balance,
     with_date_parts,
     with_partition_values,
 )
@@ -41,13 +51,18 @@ from salesflow.plans import (
     append_staging,
     category_report,
     inspect_table,
+    load_once,
     load_partitioned,
     monthly_report,
+    publish_etl,
+    published_tables,
     run_aggregate_job,
     run_etl,
+    run_incremental_etl,
     stage_sales,
     verify_load,
 )
+from salesflow.schema import SALES_PARTITION_COLUMNS
 from salesflow.session import scratch_database, scratch_location
 from salesflow.streaming import read_incremental_output, run_incremental_load
 from salesflow.sources import (
@@ -58,6 +73,7 @@ from salesflow.sources import (
     read_table,
     sales_from_tpch,
 )
+from salesflow.sources.listing import data_files, list_folder
 
 # Band thresholds for the compared queries. With the reference's 1000 / 300 every
 # test row is premium or mid (59,955 / 45 / 0 at sf0.01); these split all three bands.
@@ -297,6 +313,57 @@ def sales_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_incremental_output(spark, out, id_type=ADAPTER_ID_TYPE)
 
 
+def sales_load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1/L1 with a ledger: one folder loaded when half of it is there, when all of it is, and once more: one copy."""
+    rows, database, staging = sales(spark, sf_dir), scratch_database(spark), scratch_location(spark, "staging")
+    stage_sales(rows.where(F.pmod("id", F.lit(2)) == 0), staging, ADAPTER_ID_TYPE)
+    load_once(spark, database, staging, ADAPTER_ID_TYPE)
+    rows.where(F.pmod("id", F.lit(2)) == 1).write.mode("append").parquet(staging)
+    for _ in range(2):
+        tables = load_once(spark, database, staging, ADAPTER_ID_TYPE)
+    return read_table(spark, tables.view)
+
+
+def sales_folder_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 recursively: folders on each level of the loaded table, and whether files without rows are listed among its
+    staging files (a file of none is added to them)."""
+    loaded = _loaded(spark, sf_dir)
+    root = table_location(spark, loaded.partitioned_table)
+    folders = list_folder(spark, root).where("kind = 'folder' AND relative LIKE 'category=%'")
+    levels = folders.groupBy(F.size(F.split("relative", "/")).alias("level")).agg(F.count("*").alias("folders"))
+    staged = spark.read.parquet(loaded.staging_location)
+    staged.limit(0).write.mode("append").parquet(loaded.staging_location)
+    files = data_files(list_folder(spark, loaded.staging_location))
+    with_rows = file_listing(spark.read.parquet(loaded.staging_location), ())
+    return levels.crossJoin(files.agg(F.count("*").alias("listed")).crossJoin(with_rows.agg(F.count("*").alias("filled"))).select(
+        (F.col("listed") > F.col("filled")).alias("empty_files_listed")))
+
+
+def sales_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: eight partitions asked for, one of them with all rows."""
+    rows = sales(spark, sf_dir).select(F.length("sale_date").alias("same")).repartition(8, "same")
+    balance = whole_partition_balance(rows)
+    return balance.agg(F.count("*").alias("partitions"), F.count_if(F.col("rows") > 0).alias("filled"), F.sum("rows").alias("total_rows"))
+
+
+def sales_aggregated_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G2 by exact sums: not rounded, and the same to the last bit for any division of the rows."""
+    totals = exact_totals(sales(spark, sf_dir).transform(with_date_parts), SALES_PARTITION_COLUMNS).withColumn("total_amount", exact_sum())
+    return totals.select(
+        *SALES_PARTITION_COLUMNS, "total_amount", F.col("n_ids").alias("total_sales"), exact_mean(F.col("total_amount")).alias("avg_amount")
+    )
+
+
+def sales_category_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 by exact sums, rolled up from those of G1's groups."""
+    totals = exact_totals(with_partition_values(sales(spark, sf_dir)), SALES_PARTITION_COLUMNS)
+    merged = merged_totals(totals, ["category"]).withColumn("total_revenue", exact_sum())
+    return merged.select(
+        "category", F.col("n_rows").alias("total_sales"), "total_revenue", exact_mean(F.col("total_revenue")).alias("avg_amount"),
+        F.col("amount_min").alias("min_amount"), F.col("amount_max").alias("max_amount"),
+    )
+
+
 # --- overwrite modes ---------------------------------------------------------
 
 
@@ -369,6 +436,57 @@ def sales_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _incremental(spark: SparkSession, sf_dir: str) -> EtlTables:
+    """L3 twice over one folder: first it lacks the rows from REWRITE_FROM_YEAR on and has a category that is withdrawn
+    before the second run, which reads and rewrites what changed."""
+    database = scratch_database(spark)
+    early = sales(spark, sf_dir).where(F.col("sale_date") < REWRITE_FROM_DAY)
+    withdrawn = early.where("sale_date >= '1998-01-01'").withColumn("category", F.lit("WITHDRAWN"))
+    staging = stage_sales(early.unionByName(withdrawn), scratch_location(spark, "staging"), ADAPTER_ID_TYPE)
+    loaded = load_partitioned(spark, database, staging, id_type=ADAPTER_ID_TYPE)
+    root = table_location(spark, loaded.partitioned_table)
+    run = lambda: run_incremental_etl(spark, root, database, ADAPTER_ID_TYPE, TEST_PREMIUM_FROM, TEST_MID_FROM)
+    run()
+    insert_into(with_partition_values(sales(spark, sf_dir, REWRITE_FROM_DAY)), loaded.partitioned_table)
+    drop_partitions(spark, loaded.partitioned_table, partition_values(spark, loaded.partitioned_table).where("category = 'WITHDRAWN'"))
+    return run().tables
+
+
+def sales_etl_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 for changed partitions only: the transformed rows after the second run."""
+    return read_table(spark, _incremental(spark, sf_dir).transformed)
+
+
+def sales_etl_incremental_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return category_report(spark, _incremental(spark, sf_dir))
+
+
+def sales_etl_incremental_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly_report(spark, _incremental(spark, sf_dir))
+
+
+def sales_etl_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 published as one, twice; between them a run that fails. The monthly table that readers are shown."""
+    loaded = _loaded(spark, sf_dir)
+    root = table_location(spark, loaded.partitioned_table)
+    publish = lambda source: publish_etl(spark, source, loaded.database, ADAPTER_ID_TYPE, TEST_PREMIUM_FROM, TEST_MID_FROM)
+    publish(root)
+    try:
+        publish(f"{root}/nowhere")
+    except AnalysisException:
+        pass
+    publish(root)
+    return monthly_report(spark, published_tables(spark, loaded.database))
+
+
+def sales_etl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G5 inside L3: rows of each step, observed while the tables are written."""
+    loaded, counts = _loaded(spark, sf_dir), StepCounts()
+    root = table_location(spark, loaded.partitioned_table)
+    run_etl(spark, root, loaded.database, ADAPTER_ID_TYPE, TEST_PREMIUM_FROM, TEST_MID_FROM, counts=counts)
+    return counts.table(spark).select("step", "rows")
+
+
 QUERIES: dict[str, Query] = {
     "sales_scan": sales_scan,
     "sales_external_table": sales_external_table,
@@ -402,4 +520,14 @@ QUERIES: dict[str, Query] = {
     "sales_by_category": sales_by_category,
     "sales_by_month": sales_by_month,
     "sales_tables": sales_tables,
+    "sales_load_once": sales_load_once,
+    "sales_folder_listing": sales_folder_listing,
+    "sales_partition_count": sales_partition_count,
+    "sales_aggregated_exact": sales_aggregated_exact,
+    "sales_category_exact": sales_category_exact,
+    "sales_etl_incremental": sales_etl_incremental,
+    "sales_etl_incremental_by_category": sales_etl_incremental_by_category,
+    "sales_etl_incremental_by_month": sales_etl_incremental_by_month,
+    "sales_etl_published": sales_etl_published,
+    "sales_etl_counts": sales_etl_counts,
 }

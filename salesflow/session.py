@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from salesflow.functions.names import quoted_text
+
 # Settings the library relies on. AQE re-plans at runtime: it coalesces small
 # shuffle partitions, splits skewed join partitions (a hot key can hold a third
 # of the rows) and splits skewed partitions behind the write-side REBALANCE.
@@ -75,5 +77,5 @@ def scratch_database(spark: SparkSession, prefix: str = "salesflow") -> str:
     """Create a uniquely named database whose managed tables live under the shared root."""
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
     location = f"{shared_root(spark)}/salesflow/warehouse/{name}.db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {quoted_text(location)}")
     return name
