@@ -38,17 +38,23 @@ from salesflow.operators.inspect import (
 from salesflow.operators.keys import with_keys_of, without_keys_of
 from salesflow.operators.ordering import first_rows, sort_rows
 from salesflow.operators.sinks import (
+    compact_table,
     distribute,
+    file_bins,
     insert_into,
     overwrite_partitions,
     overwrite_path_partitions,
     rebalance,
+    save_sorted,
     save_table,
     spread,
 )
 from salesflow.operators.transforms import clean_sales, with_date_parts, with_partition_values
 
 __all__ = [
+    "compact_table",
+    "file_bins",
+    "save_sorted",
     "drop_partitions",
     "partition_values",
     "StepCounts",

@@ -19,10 +19,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.catalog import partition_columns
+from salesflow.operators.catalog import file_listing, partition_columns
 
 DYNAMIC_OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
 DISTRIBUTIONS = ("rebalance", "spread", "none")
@@ -131,3 +131,59 @@ def overwrite_path_partitions(
         .partitionBy(*cols)
         .parquet(path)
     )
+
+
+def save_sorted(
+    df: DataFrame,
+    table: str,
+    sort_by: Sequence[str],
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    writers: int | None = None,
+) -> None:
+    """K3/K4 with the reference's sort (O1/O2) kept in the files: every file holds one range of ``sort_by`` (within its
+    partition), in order, so a filter on the keys passes over the files and row groups outside it.
+
+    Rows are dealt by ranges of the keys to ``writers`` tasks (default: the session's shuffle width). A key that holds more
+    rows than a range is cut by a hash of the other columns: then neighbouring files share that one value, no task gets
+    all of it. Readers that want an order still sort: files are read in any order."""
+    width = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*partition_by, *sort_by]
+    rest = [c for c in df.columns if c not in keys]
+    ranges = [*keys, F.xxhash64(*rest)] if rest else keys
+    writer = df.repartitionByRange(width, *ranges).sortWithinPartitions(*keys).write.mode(mode).format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+
+
+def file_bins(files: DataFrame, partition_by: Sequence[str], target_bytes: int) -> DataFrame:
+    """The files of each partition that has more than its bytes need, packed into bins of about ``target_bytes``:
+    ``file_path, bin``. Files are laid end to end by falling size and cut at every multiple of the target."""
+    of = Window.partitionBy(*partition_by)
+    laid = of.orderBy(F.desc("file_size"), "file_path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    packed = files.withColumns(
+        {
+            "bin": F.floor((F.sum("file_size").over(laid) - F.col("file_size")) / target_bytes),
+            "needed": F.ceil(F.sum("file_size").over(of) / target_bytes),
+            "found": F.count("*").over(of),
+        }
+    )
+    return packed.where("found > greatest(needed, 1)").select(*partition_by, "file_path", "bin")
+
+
+def compact_table(spark: SparkSession, table: str, target_bytes: int = 128 << 20) -> int:
+    """Rewrite the partitions that have more files than their bytes need, each replaced as a whole (K5), rows unchanged;
+    how many partitions. Readers of a partition see its old files or its new ones.
+
+    A bin's rows go to one task, one of as many as there are bins, and become one file; where two bins of a partition meet
+    in a task, they share it. Partitions that have no file too many are not read again."""
+    cols = partition_columns(spark, table)
+    if not cols:
+        raise ValueError(f"{table} has no partitions to replace one by one")
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table).withColumn("_file", F.col("_metadata.file_path"))
+    bins = file_bins(file_listing(spark.table(table), cols), cols, target_bytes).checkpoint()
+    count, n_bins = bins.select(*cols).distinct().count(), bins.select(*cols, "bin").distinct().count()
+    if count:
+        placed = rows.join(bins.select(F.col("file_path").alias("_file"), F.col("bin").alias("_bin")), "_file")
+        overwrite_partitions(placed.repartition(n_bins, *cols, "_bin").drop("_file", "_bin"), table, distribute_by="none")
+    return count

@@ -154,6 +154,14 @@ UNION ALL SELECT 3, count(DISTINCT (category, year, month)), true FROM parts""",
     + """SELECT 'extract' AS step, count(*) AS rows FROM sales UNION ALL SELECT 'transform', count(*) FROM transformed
 UNION ALL SELECT 'by_category', count(DISTINCT category) FROM transformed
 UNION ALL SELECT 'by_month', count(*) FROM (SELECT DISTINCT year, month, category FROM transformed)""",
+    "sales_checked_load": _with(_SALES, _PARTS)
+    + """SELECT id, product, amount, category,
+  CASE WHEN id % 5 = 0 THEN replace(sale_date, '-', '/') WHEN id % 7 <> 0 THEN sale_date END AS sale_date,
+  CASE WHEN id % 5 <> 0 AND id % 7 <> 0 THEN year END AS year, CASE WHEN id % 5 <> 0 AND id % 7 <> 0 THEN month END AS month,
+  CASE WHEN id % 5 = 0 THEN 'not a date' WHEN id % 7 = 0 THEN 'no date' END AS reason FROM parts""",
+    "sales_sorted_table": _with(_SALES) + "SELECT count(*) AS rows, true AS several_files, false AS overlap FROM sales",
+    "sales_compacted": _with(_SALES, _PARTS)
+    + "SELECT category, year, count(*) AS rows, 1::BIGINT AS files FROM parts GROUP BY category, year",
     "sales_tables": _with(_SALES, _TRANSFORMED)
     + """SELECT 'sales_by_category' AS table_name, count(DISTINCT category) AS row_count FROM transformed
 UNION ALL SELECT 'sales_by_month', count(*) FROM (SELECT DISTINCT year, month, category FROM transformed)

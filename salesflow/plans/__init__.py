@@ -14,8 +14,13 @@ from salesflow.plans.load import (
 )
 from salesflow.plans.ledger import LedgerTables, drop_failed_loads, load_once, loaded_files
 from salesflow.plans.publish import publish_etl, published_tables
+from salesflow.plans.rejects import CheckedTables, load_checked, reject_reason, reject_summary
 
 __all__ = [
+    "CheckedTables",
+    "load_checked",
+    "reject_reason",
+    "reject_summary",
     "IncrementalRun",
     "LedgerTables",
     "changed_partitions",

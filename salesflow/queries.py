@@ -15,13 +15,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesflow.functions import round_money, title_case
 from salesflow.operators import (
     StepCounts,
     clean_sales,
+    compact_table,
     describe_table,
     drop_partitions,
     exact_mean,
@@ -39,6 +40,7 @@ from salesflow.operators import (
     partition_files,
     partition_values,
     row_count,
+    save_sorted,
     save_table,
     table_location,
     whole_partition_balance,
@@ -51,6 +53,7 @@ from salesflow.plans import (
     append_staging,
     category_report,
     inspect_table,
+    load_checked,
     load_once,
     load_partitioned,
     monthly_report,
@@ -364,6 +367,40 @@ def sales_category_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a load whose rows have some dates spoilt; good and rejected rows with their reasons, all of them."""
+    day = F.when(F.col("id") % 5 == 0, F.replace("sale_date", F.lit("-"), F.lit("/"))).when(F.col("id") % 7 != 0, F.col("sale_date"))
+    staging = stage_sales(sales(spark, sf_dir).withColumn("sale_date", day), scratch_location(spark, "staging"), ADAPTER_ID_TYPE)
+    tables = load_checked(spark, scratch_database(spark), staging, scratch_location(spark, "checked"), ADAPTER_ID_TYPE)
+    good = read_table(spark, tables.good).withColumn("reason", F.lit(None).cast("string"))
+    return good.unionByName(read_table(spark, tables.rejected))
+
+
+def sales_sorted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 into K4: a table whose files hold ranges of the sale date; its rows, and whether any file reaches back into
+    the range of the one before."""
+    table = f"{scratch_database(spark)}.sales_sorted"
+    save_sorted(sales(spark, sf_dir), table, ["sale_date"], writers=12)
+    files = read_table(spark, table).groupBy("_metadata.file_path").agg(
+        F.count("*").alias("rows"), F.min("sale_date").alias("first"), F.max("sale_date").alias("last")
+    )
+    before = F.lag("last").over(Window.orderBy("first", "last"))
+    return files.withColumn("back", before > F.col("first")).agg(
+        F.sum("rows").alias("rows"), (F.count("*") > 1).alias("several_files"), F.coalesce(F.bool_or("back"), F.lit(False)).alias("overlap")
+    )
+
+
+def sales_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: a table appended to in small pieces, then compacted: its rows, by category, and whether each partition is one file."""
+    table = f"{scratch_database(spark)}.sales_by_year"
+    rows = _by_year(spark, sf_dir)
+    for part in range(3):
+        save_table(rows.where(F.pmod("id", F.lit(3)) == part), table, ("category", "year"), "append" if part else "overwrite")
+    compact_table(spark, table)
+    files = file_listing(read_table(spark, table), ("category", "year"))
+    return files.groupBy("category", "year").agg(F.sum("rows").alias("rows"), F.count("*").alias("files"))
+
+
 # --- overwrite modes ---------------------------------------------------------
 
 
@@ -530,4 +567,7 @@ QUERIES: dict[str, Query] = {
     "sales_etl_incremental_by_month": sales_etl_incremental_by_month,
     "sales_etl_published": sales_etl_published,
     "sales_etl_counts": sales_etl_counts,
+    "sales_checked_load": sales_checked_load,
+    "sales_sorted_table": sales_sorted_table,
+    "sales_compacted": sales_compacted,
 }

@@ -19,6 +19,9 @@ from salesflow.schema import SALES_PARTITION_COLUMNS, raw_sales_schema, sales_fi
 
 #: Staging files of one micro-batch.
 FILES_PER_BATCH = 64
+#: Writers of one partition value in a micro-batch, and so its files there: a value that holds a third of a batch is written
+#: in pieces of a twelfth, while the number of files does not grow with the shuffle width.
+WRITERS_PER_VALUE = 4
 
 
 def start_incremental_load(
@@ -28,20 +31,18 @@ def start_incremental_load(
     checkpoint_location: str,
     id_type: str = "int",
     files_per_batch: int = FILES_PER_BATCH,
-    writers_per_value: int | None = None,
+    writers_per_value: int = WRITERS_PER_VALUE,
 ) -> StreamingQuery:
     """Load every staging file not yet loaded, then stop (``availableNow``).
 
     Skew is handled here, since not every version re-plans micro-batches: rows go to writers by
-    partition value plus a salt of ``writers_per_value`` buckets (default: the session's shuffle
-    width, so a value holding a third of a batch can use every writer). The salt is a hash of
-    the row's file and place in it, so equal rows spread, and a retried task sends every row to
+    partition value plus a salt of ``writers_per_value`` buckets; raise it for large batches of
+    few values. The salt is a hash of the row's file and place in it, so equal rows spread, and a retried task sends every row to
     the same writer. ``files_per_batch`` bounds the size of each micro-batch."""
     reader = spark.readStream.schema(raw_sales_schema(id_type)).option("maxFilesPerTrigger", files_per_batch)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = writers_per_value or width
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    staged = reader.parquet(staging_dir).withColumn("_salt", F.pmod(place, F.lit(buckets)))
+    staged = reader.parquet(staging_dir).withColumn("_salt", F.pmod(place, F.lit(writers_per_value)))
     rows = with_partition_values(staged, "_salt")
     return (
         rows.repartition(width, *SALES_PARTITION_COLUMNS, "_salt")
@@ -63,7 +64,7 @@ def run_incremental_load(
     checkpoint_location: str,
     id_type: str = "int",
     files_per_batch: int = FILES_PER_BATCH,
-    writers_per_value: int | None = None,
+    writers_per_value: int = WRITERS_PER_VALUE,
 ) -> None:
     """Start the load and wait until the files present at the start are loaded."""
     query = start_incremental_load(
