@@ -10,12 +10,17 @@ a few edits apart give walks that meet again and again, so the embedded strings
 places of the walk make a key; windows and items of equal key, in any of REPEATS walks, are candidates. Candidates
 are verified by the exact edit distance of the item to the best stretch around the window.
 
+An edit that takes the first words of an item away, or many edits at one place, would leave the walks of whole items
+nowhere to meet. So items are also walked from places further in, up to the start of the longer of the two parts that
+one run of edits leaves, and half of the walks sample places within such a part only.
+
 Walks drift apart as edits add up, so items of more than PIECE words are cut into consecutive pieces of about equal
 length, and the pieces are walked. Within the allowed edits of an item one piece at least has no more edits a word
 than the whole item, so that the piece is within its own allowed edits; the whole item is verified around it.
 
-Two bounds without loss keep this cheap. Each edit takes at most two of an item's n - 1 word pairs away, so a
-window that holds fewer pairs of the benchmark than n - 1 less twice the allowed edits is not walked; and a candidate
+Two bounds without loss keep this cheap. Each edit takes at most two of an item's n - 1 word pairs away, so a window that
+holds, with the words before it that a walk from further in passes over, fewer pairs of the benchmark than n - 1 less
+twice the allowed edits is not walked; and a candidate
 that holds fewer of the item's words than n less the allowed edits is not aligned. Items are worked on in blocks of BLOCK, each one pass over the documents, so what is broadcast is bounded.
 """
 
@@ -38,7 +43,9 @@ from .common import filter_texts, id_and_text
 MIN_WORDS = 5
 SIMILARITY = 0.8
 #: Walks, and sampled places of each: over 0.95 of random items edited up to the limit are found (tests).
-REPEATS, PLACES = 32, 3
+REPEATS, PLACES = 16, 3
+#: Parts of a piece between the places from which it is walked, and how far in the last of them may lie.
+STARTS, INSIDE = 10, 0.6
 #: The most words that are walked as one piece.
 PIECE = 40
 #: Items of one pass, and the most bytes of their texts.
@@ -103,7 +110,7 @@ class LengthClass:
     longest: int
     pieces: list[int]
     places: np.ndarray = None  # by repeat, the sampled steps in order
-    tables: list = field(default_factory=list)  # by repeat: first symbols, sorted keys, their pieces
+    tables: list = field(default_factory=list)  # by repeat: first symbols, sorted keys, their pieces and how far in they start
 
 
 def step_bits(multipliers: np.ndarray, step: int, symbols: np.ndarray) -> np.ndarray:
@@ -138,6 +145,11 @@ def piece_cuts(n: int) -> np.ndarray:
     return np.arange(parts + 1) * n // parts
 
 
+def inner_starts(n: int) -> np.ndarray:
+    """From how far in a piece of n words is walked."""
+    return np.arange(0, int(INSIDE * n) + 1, max(1, n // STARTS))
+
+
 def pair_places(ids: np.ndarray) -> np.ndarray:
     """Where each pair of neighbours is marked."""
     mixed = ids[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids[1:].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -201,16 +213,19 @@ class Index:
         flat = np.concatenate([*coded, np.zeros(1, np.int64)]) if coded else np.zeros(1, np.int64)
         offsets = np.cumsum([0, *map(len, coded)])
         for c in classes:
-            reach = max(int(1.5 * c.shortest), PLACES)
-            c.places = np.array([np.sort(random.choice(reach, PLACES, replace=False)) for _ in range(REPEATS)])
-            starts = offsets[owners[c.pieces]] + inside[c.pieces]
-            ends = starts + sizes[c.pieces]
+            # a step passes over half a word on average
+            reach = [max(int(x * c.shortest), PLACES) for x in (1.5, 2 * (1 - INSIDE))]
+            c.places = np.array([np.sort(random.choice(reach[r % 2], PLACES, replace=False)) for r in range(REPEATS)])
+            inner = [inner_starts(int(sizes[i])) for i in c.pieces]
+            walked, inner = np.repeat(c.pieces, [len(x) for x in inner]), np.concatenate(inner)
+            starts = offsets[owners[walked]] + inside[walked]
+            starts, ends = starts + inner, starts + sizes[walked]
             for r in range(REPEATS):
                 first = np.zeros(len(numbers) + 3, bool)
                 first[made._symbols(flat, starts, ends, r, int(c.places[r][0])) + 2] = True
                 keys, _ = walk(flat, starts, ends, multipliers[r], c.places[r], None)
                 by = np.argsort(keys, kind="stable")
-                c.tables.append((first, keys[by], np.array(c.pieces)[by]))
+                c.tables.append((first, keys[by], walked[by], inner[by]))
         return made
 
     def _symbols(self, ids, starts, ends, r, place) -> np.ndarray:
@@ -220,8 +235,9 @@ class Index:
             at += step_bits(self.multipliers[r], step, symbol)
         return symbol
 
-    def candidates(self, ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(starts, pieces) of windows and pieces that share a key; `ends` is where each word's document ends."""
+    def candidates(self, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(starts, pieces, how far in) of windows and pieces that share a key; `begins` and `ends` are those of each
+        word's document."""
         common = np.append(self.pairs[pair_places(ids)], False)
         common &= (ids > 0) & (np.arange(1, len(ids) + 1) < ends)
         common = np.concatenate([[0], np.cumsum(common)])
@@ -230,18 +246,19 @@ class Index:
             least = min(n - 1 - 2 * self.allowed(n) for n in set(self.sizes[c.pieces].tolist()))
             starts = np.flatnonzero(ids > 0)
             stops = np.minimum(starts + size, ends[starts])
-            starts = starts[common[stops - 1] - common[starts] >= least]
+            back = np.maximum(starts - int(INSIDE * c.longest) - self.allowed(c.longest), begins[starts])
+            starts = starts[common[stops - 1] - common[back] >= least]
             if not len(starts):
                 continue
-            for r, (first, keys, pieces) in enumerate(c.tables):
+            for r, (first, keys, pieces, inner) in enumerate(c.tables):
                 key, alive = walk(ids, starts, ends[starts], self.multipliers[r], c.places[r], first)
                 low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
                 hit = np.flatnonzero(high > low)
                 count = (high - low)[hit]
                 if len(hit):
                     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    yield np.repeat(starts[alive[hit]], count), pieces[np.repeat(low[hit], count) + nth]
-
+                    at = np.repeat(low[hit], count) + nth
+                    yield np.repeat(starts[alive[hit]], count), pieces[at], inner[at]
 
     def short_items(self, ids: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(document, item, start) of the first place of each short item in each document."""
@@ -279,23 +296,19 @@ def best_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
 
 
 def regions(
-    seen: set[tuple[int, int, int]], index: Index, owner: np.ndarray, ends: np.ndarray, sizes: np.ndarray
+    seen: dict[tuple[int, int], int], index: Index, owner: np.ndarray, ends: np.ndarray, sizes: np.ndarray
 ) -> Iterator[tuple[int, int, int, int]]:
-    """(item, a word of the document, begin, stop) of what is to be aligned for candidates (item, start, offset of the
-    piece). Candidates of a cut item whose starts are close are aligned as one region."""
+    """(item, a word of the document, begin, stop) of what is to be aligned, for candidates: by item and the place where
+    it would start, a word of the window. Candidates of an item that start close to each other are one region."""
     last = None  # item, document, its word, least and greatest start of the item
-    for i, at, offset in sorted((i, at - offset, offset) for i, at, offset in seen):
-        at += offset
-        n, k = len(index.items[i]), index.allowed(len(index.items[i]))
-        if n <= PIECE:
-            yield i, at, max(int(ends[at]) - int(sizes[owner[at]]), at - k), min(int(ends[at]), at + n + 2 * k)
-            continue
-        if last and last[:2] == (i, int(owner[at])) and at - offset - last[3] <= k:
-            last = (*last[:4], at - offset)
+    for (i, start), at in sorted(seen.items()):
+        k = index.allowed(len(index.items[i]))
+        if last and last[:2] == (i, int(owner[at])) and start - last[4] <= k:
+            last = (*last[:4], start)
             continue
         if last:
             yield around(last, index, owner, ends, sizes)
-        last = (i, int(owner[at]), at, at - offset, at - offset)
+        last = (i, int(owner[at]), at, start, start)
     if last:
         yield around(last, index, owner, ends, sizes)
 
@@ -322,10 +335,10 @@ def find_leaks(texts: list[str], index: Index, numbers: Numbers) -> list[tuple[i
         sizes = np.array([len(x) for _, x, _ in group])
         ends = np.repeat(np.cumsum(sizes), sizes)
         owner = np.repeat(np.arange(len(group)), sizes)
-        seen: set[tuple[int, int, int]] = set()
-        for starts, pieces in index.candidates(ids, ends):
-            i, offset = index.owners[pieces], index.offsets[pieces]
-            seen.update(zip(i.tolist(), starts.tolist(), offset.tolist()))
+        seen: dict[tuple[int, int], int] = {}
+        for starts, pieces, inner in index.candidates(ids, ends - sizes[owner], ends):
+            i, offset = index.owners[pieces], index.offsets[pieces] + inner
+            seen.update(zip(zip(i.tolist(), (starts - offset).tolist()), starts.tolist()))
         covered: dict[int, int] = {}
         for i, at, begin, stop in regions(seen, index, owner, ends, sizes):
             if covered.get(i, -1) >= at:

@@ -74,19 +74,35 @@ def test_recall_of_edited_items(benchmark):
         assert helpers.edit_stretch(items[i], words) <= int(0.2 * len(items[i]) + 1e-9)
 
 
-@pytest.mark.parametrize("n", [15, 25, 40, 41, 60, 120, 200, 300, 500])
-def test_recall_at_the_limit_by_length(n):
+def spoilt(words, kind, random_, new):
+    """The words with as many edits as are allowed, all of one kind; `new` makes a word."""
+    n = len(words)
+    k = int(0.2 * n + 1e-9)
+    place = {"front": 0, "end": n - k}.get(kind.split()[0], random_.randint(0, n - k))
+    if kind.startswith("spread"):
+        places, out = random_.sample(range(n), k), []
+        for p, word in enumerate(words):
+            out += random_.choice(([new()], [new(), word], [])) if p in places else [word]
+        return out
+    if kind == "both ends cut":
+        return words[k // 2 : n - (k - k // 2)]
+    middle = [] if kind.endswith("cut") else [new() for _ in range(k)]
+    return words[:place] + middle + words[place + (0 if kind.endswith("added") else k) :]
+
+
+KINDS_OF_EDITS = ["front cut", "front replaced", "end cut", "end replaced", "run cut", "run replaced", "run added", "both ends cut", "spread"]
+
+
+@pytest.mark.parametrize("n", [5, 10, 15, 20, 25, 30, 40, 41, 60, 120, 200, 300, 500])
+def test_recall_at_the_limit_by_length_and_kind_of_edit(n):
     random_ = random.Random(n)
-    items = [(i, [f"w{random_.randrange(3000)}" for _ in range(n)]) for i in range(200 if n < 100 else 60)]
+    items = [(i, [f"w{random_.randrange(3000)}" for _ in range(n)]) for i in range(100 if n < 100 else 40)]
     index = decontamination.Index.of(items, 0.8)
-    texts = []
-    for _, words in items:
-        edited, places = [], random_.sample(range(n), int(0.2 * n + 1e-9))  # each a real edit, by words of no item
-        for p, word in enumerate(words):
-            edited += random_.choice((["x"], ["x", word], [])) if p in places else [word]
-        texts.append(" ".join(["y"] * 30 + edited + ["y"] * 30))
-    found = {(t, i) for t, i, *_ in decontamination.find_leaks(texts, index, decontamination.Numbers(index.numbers))}
-    assert len(found & {(i, i) for i in range(len(items))}) >= 0.95 * len(items)
+    for new in (lambda: "x", lambda: f"w{random_.randrange(3000)}"):  # words outside and inside the benchmark
+        for kind in KINDS_OF_EDITS:
+            texts = [" ".join(["y"] * 30 + spoilt(words, kind, random_, new) + ["y"] * 30) for _, words in items]
+            found = {(t, i) for t, i, *_ in decontamination.find_leaks(texts, index, decontamination.Numbers(index.numbers))}
+            assert len(found & {(i, i) for i in range(len(items))}) >= 0.95 * len(items), kind
 
 
 def test_leaks_query(spark, benchmark):
