@@ -4,12 +4,17 @@ A tree builder closes what HTML lets authors leave open (paragraphs, list items,
 stray end tags; visibility rules drop what a browser does not show; the renderer then lays out what is left: blocks
 on lines of their own, a blank line around paragraphs and headings, list markers with indents, table cells aligned
 in columns, preformatted text as it is. Labels of SVG and the text of MathML are inline text. Neither builder nor renderer recurses, so depth is not bounded by a stack.
+
+Time and output are in proportion to the page. The builder looks open elements up by name; indents stop at INDENT
+characters; in a table, a cell wider than CELL does not widen its column, no gap in a row is wider than GAP, and tables
+nested more than TABLES deep are set as blocks.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 
@@ -22,7 +27,11 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-HIDING = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.IGNORECASE)
+#: The widest indent, cell and gap that a line is padded for, and the deepest table that is set in columns.
+INDENT, CELL, GAP, TABLES = 60, 60, 120, 12
+#: The largest numbers of columns and rows that a cell spans.
+COLUMN_SPAN, ROW_SPAN = 1000, 65_534
 VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse)", re.IGNORECASE)
 
 # Element groups of the HTML standard.
@@ -84,13 +93,15 @@ class Node:
         return None
 
     def hidden(self) -> bool:
-        if self.tag in UNSEEN or self.tag == "dialog" and self.attribute("open") is None:
+        if self.tag in UNSEEN:
             return True
         if not self.attributes:
-            return False
-        style = self.attribute("style")
+            return self.tag == "dialog"
+        said = DISPLAY.findall(self.attribute("style") or "")
+        if said:  # the last one holds, also against `hidden` and a closed dialog
+            return said[-1].lower() == "none"
         return bool(
-            self.attribute("hidden") is not None or style and HIDING.search(style)
+            self.attribute("hidden") is not None or self.tag == "dialog" and self.attribute("open") is None
             or self.tag == "input" and (self.attribute("type") or "").lower() in ("hidden", "checkbox", "radio", "password", "file")
         )
 
@@ -98,6 +109,17 @@ class Node:
         """Whether an element of SVG or MathML hides what it holds."""
         return self.tag in FOREIGN_UNSEEN or (self.attribute("display") or "").strip().lower() == "none"
 
+    def number(self, name: str) -> int | None:
+        """A whole number that an attribute gives."""
+        found = re.match(r"\s*([+-]?[0-9]{1,9})", self.attribute(name) or "")
+        return int(found[1]) if found else None
+
+    def shown(self) -> list:
+        """The children; of closed details, the summary only."""
+        if self.tag != "details" or self.attribute("open") is not None:
+            return self.children
+        return [x for x in self.children if isinstance(x, Node) and x.tag == "summary"][:1]
+
     def visibility(self, mode: str) -> str | None:
         """What the element says of its visibility, which is inherited where it says nothing."""
         if self.tag == "mphantom" and mode == "math":
@@ -114,35 +136,41 @@ class Builder:
     def __init__(self):
         self.root = Node("html")
         self.open = [self.root]
-        self.counts: dict[str, int] = {}
+        self.places: dict[str, list[int]] = {}  # where the open elements of a name are, but for the root
+        self.marks: list[int] = []  # where elements are that begin or end SVG and MathML
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        if node.tag in FOREIGN or node.tag in INTEGRATION:
+            self.marks.append(len(self.open))
+        self.open.append(node)
 
     def pop_to(self, at: int) -> None:
         for node in self.open[at:]:
-            self.counts[node.tag] -= 1
+            self.places[node.tag].pop()
+        while self.marks and self.marks[-1] >= at:
+            self.marks.pop()
         del self.open[at:]
 
+    def last(self, tags: frozenset) -> int:
+        """The place of the innermost open element of `tags`, or 0."""
+        return max((self.places[x][-1] for x in tags if self.places.get(x)), default=0)
+
     def end(self, tags: frozenset, stop: frozenset) -> None:
         """Ends the outermost open element of `tags` within the nearest element of `stop`."""
-        if not any(self.counts.get(x) for x in tags):
+        if not self.last(tags):
             return
-        found = 0
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag in tags:
-                found = at
-            elif self.open[at].tag in stop:
-                break
+        bound, found = self.last(stop), []
+        for tag in tags:
+            own = self.places.get(tag, [])
+            at = bisect_right(own, bound)
+            found += own[at : at + 1]
         if found:
-            self.pop_to(found)
+            self.pop_to(min(found))
 
     def foreign(self) -> int:
         """The place of the open svg or math element, if what comes next is not HTML, or else 0."""
-        if any(self.counts.get(x) for x in FOREIGN):
-            for at in range(len(self.open) - 1, 0, -1):
-                if self.open[at].tag in FOREIGN:
-                    return at
-                if self.open[at].tag in INTEGRATION:
-                    break
-        return 0
+        return self.marks[-1] if self.marks and self.open[self.marks[-1]].tag in FOREIGN else 0
 
     def start(self, tag: str, attributes: str, closed: bool) -> None:
         while (at := self.foreign()) and tag in BREAKOUT:
@@ -151,17 +179,16 @@ class Builder:
             node = Node(tag, attributes)
             self.open[-1].children.append(node)
             if not closed:
-                self.open.append(node)
-                self.counts[tag] = self.counts.get(tag, 0) + 1
+                self.push(node)
             return
         if tag in ("html", "body"):
             if tag == "body":
                 self.end(frozenset(["head"]), frozenset())
-            target = next((x for x in self.open if x.tag == tag), None)
+            target = self.root if tag == "html" else self.open[self.places[tag][0]] if self.places.get(tag) else None
             if target:
                 target.attributes = target.attributes or attributes
                 return
-        if self.counts.get("head") and self.open[-1].tag == "head" and tag not in HEAD_ONLY:
+        if self.places.get("head") and self.open[-1].tag == "head" and tag not in HEAD_ONLY:
             self.end(frozenset(["head"]), frozenset())
         if tag in CLOSES_P:
             self.end(frozenset(["p"]), P_SCOPE)
@@ -170,21 +197,17 @@ class Builder:
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
         if tag not in VOID and not (closed and tag in FOREIGN):
-            self.open.append(node)
-            self.counts[tag] = self.counts.get(tag, 0) + 1
+            self.push(node)
 
     def finish(self, tag: str) -> None:
         if tag == "br":
             self.open[-1].children.append(Node("br"))
-        if not self.counts.get(tag) or tag in ("html", "body"):
+        if not self.places.get(tag) or tag in ("html", "body"):
             return
         stop = END_SCOPE if tag not in END_SCOPE and tag not in ("tr", "tbody", "thead", "tfoot") else frozenset(["table"])
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag == tag:
-                return self.pop_to(at)
-            if self.open[at].tag in stop:
-                return None
-        return None
+        at = self.places[tag][-1]
+        if at >= self.last(stop):
+            self.pop_to(at)
 
     def text(self, text: str) -> None:
         if self.open[-1].tag == "head":
@@ -232,7 +255,8 @@ class Flow:
         self.parts: list[str] = []
         self.gap = False
         self.blank = False
-        self.indent = ""
+        self.broken = False
+        self.indent = 0
         self.marker = ""
 
     def text(self, text: str) -> None:
@@ -250,11 +274,9 @@ class Flow:
         if self.blank and self.lines:
             self.lines.append("")
         self.blank = False
-        if self.marker:
-            lead = self.indent[: len(self.indent) - len(self.marker)] + self.marker
-            self.marker = ""
-        else:
-            lead = self.indent
+        self.broken = False
+        lead = " " * min(self.indent - len(self.marker), INDENT) + self.marker
+        self.marker = ""
         self.lines.append(lead + line if line else "")
 
     def line(self) -> None:
@@ -263,27 +285,75 @@ class Flow:
             self.parts = []
         self.gap = False
 
+    def break_line(self) -> None:
+        """Ends the line; a second break leaves an empty one."""
+        if self.parts:
+            self.line()
+            self.broken = True
+        elif self.broken:
+            self.lines.append("")
+
     def block(self, spaced: bool) -> None:
         self.line()
+        self.broken = False
         self.blank = self.blank or spaced
 
 
-def align(rows: list[list[str]]) -> list[str]:
-    """Rows of cells as lines, each column as wide as its widest cell, or of its widest line."""
-    split = [[cell.split("\n") for cell in row] for row in rows]
-    widths: list[int] = []
-    for row in split:
-        for i, cell in enumerate(row):
-            if i == len(widths):
-                widths.append(0)
-            if i + 1 < len(row):
-                widths[i] = max(widths[i], *map(len, cell))
-    lines = []
-    for row in split:
-        for k in range(max(map(len, row), default=0)):
-            parts = [(cell[k] if k < len(cell) else "").ljust(widths[i]) for i, cell in enumerate(row)]
-            lines.append("  ".join(parts).rstrip())
-    return lines
+class Grid:
+    """A table's cells by row and column, as their spans place them."""
+
+    def __init__(self):
+        self.rows: list[list[tuple[int, int, str]]] = []  # column, the columns it spans, text
+        self.held: dict[int, int] = {}  # by column, the row from which it is free again
+        self.column = 0
+
+    def row(self) -> None:
+        self.rows.append([])
+        self.column = 0
+        if len(self.rows) % 64 == 0:
+            self.held = {c: free for c, free in self.held.items() if free >= len(self.rows)}
+
+    def cell(self, text: str, across: int, down: int) -> None:
+        if not self.rows:
+            self.row()
+        here = len(self.rows) - 1
+        while self.held.get(self.column, 0) > here:
+            self.column += 1
+        across = min(max(across, 1), COLUMN_SPAN)
+        if down > 1:
+            for c in range(self.column, self.column + across):
+                self.held[c] = here + min(down, ROW_SPAN)
+        self.rows[-1].append((self.column, across, text))
+        self.column += across
+
+    def lines(self) -> list[str]:
+        """Rows as lines. A column is as wide as the widest line of a cell that ends in it and has one after it; cells
+        wider than CELL do not count, and what follows them is two spaces on."""
+        starts = sorted({c for row in self.rows for c, _, _ in row})
+        widths = dict.fromkeys(starts, 0)
+        split = [[(c, across, text.split("\n")) for c, across, text in row] for row in self.rows]
+        for row in split:
+            for c, across, cell in row[:-1]:
+                width = max(map(len, cell))
+                if across == 1 and width <= CELL:
+                    widths[c] = max(widths[c], width)
+        left, at = {}, 0
+        for c in starts:
+            left[c] = at
+            at += widths[c] + 2
+        lines = []
+        for row in split:
+            for k in range(max((len(cell) for _, _, cell in row), default=0)):
+                parts, at = [], 0
+                for c, _, cell in row:
+                    text = cell[k] if k < len(cell) else ""
+                    if not text:
+                        continue
+                    gap = left[c] - at
+                    parts.append(" " * (gap if 0 <= gap <= GAP and (not parts or gap >= 2) else 2 if parts else 0) + text)
+                    at = max(at, left[c]) + len(text)
+                lines.append("".join(parts).rstrip())
+        return lines
 
 
 def render(root: Node) -> str:
@@ -330,8 +400,7 @@ def render(root: Node) -> str:
                 stack.extend((x, False, visible, mode) for x in reversed(children))
                 continue
             if tag == "br":
-                if flow.parts:
-                    flow.line()
+                flow.break_line()
                 continue
             if tag == "input":
                 if visible:
@@ -340,45 +409,52 @@ def render(root: Node) -> str:
             if tag in BLOCK:
                 flow.block(tag in SPACED and not (tag in LISTS and lists))
             if tag in LISTS:
-                try:
-                    first = int(node.attribute("start") or 1) if tag == "ol" else 0
-                except ValueError:
-                    first = 1
-                lists.append([tag, first])
+                step = -1 if tag == "ol" and node.attribute("reversed") is not None else 1
+                first = node.number("start")
+                if first is None:
+                    first = 1 if step > 0 else sum(isinstance(x, Node) and x.tag == "li" for x in node.children)
+                lists.append([tag, first, step])
             elif tag == "li":
-                kind = lists[-1] if lists else ["ul", 0]
+                kind = lists[-1] if lists else ["ul", 0, 1]
+                if node.attributes and kind[0] == "ol" and node.number("value") is not None:
+                    kind[1] = node.number("value")
                 marker = f"{kind[1]}. " if kind[0] == "ol" else "- "
-                kind[1] += 1
+                kind[1] += kind[2]
                 indents.append(len(marker))
-                flow.indent += " " * len(marker)
+                flow.indent += len(marker)
                 flow.marker = marker if visible else ""
             elif tag == "table":
-                tables.append([])
+                tables.append(Grid() if len(tables) < TABLES else None)
             elif tag == "tr" and tables:
-                tables[-1].append([])
+                if tables[-1]:
+                    tables[-1].row()
+                else:
+                    flow.block(False)
             elif tag in ("td", "th") and tables:
-                flows.append(flow)
-                flow = Flow()
+                if tables[-1]:
+                    flows.append(flow)
+                    flow = Flow()
+                else:
+                    flow.block(False)
             elif tag in ("pre", "xmp"):
                 pre += 1
             elif tag == "blockquote" or tag == "dd":
-                flow.indent += "  "
+                flow.indent += 2
             if node.children or tag in BLOCK or tag in ("tr", "td", "th"):
                 stack.append((node, True, visible, mode))
-                stack.extend((x, False, visible, mode) for x in reversed(node.children))
+                stack.extend((x, False, visible, mode) for x in reversed(node.shown()))
             continue
-        if tag in ("td", "th") and tables:
+        if tag in ("td", "th") and tables and tables[-1]:
             flow.line()
             cell, flow = "\n".join(flow.lines), flows.pop()
-            if not tables[-1]:
-                tables[-1].append([])
-            tables[-1][-1].append(cell)
-        elif tag == "tr" and tables and not visible:
-            if tables[-1] and not any(tables[-1][-1]):
-                tables[-1].pop()
+            tables[-1].cell(cell, node.number("colspan") or 1, node.number("rowspan") or 1)
+        elif tag == "tr" and tables and tables[-1] and not visible:
+            if tables[-1].rows and not any(text for _, _, text in tables[-1].rows[-1]):
+                tables[-1].rows.pop()
         elif tag == "table":
             flow.line()
-            for line in align(tables.pop()):
+            grid = tables.pop()
+            for line in grid.lines() if grid else ():
                 flow.put(line)
         if tag in BLOCK:
             flow.block(tag in SPACED and not (tag in LISTS and len(lists) > 1))
@@ -386,12 +462,14 @@ def render(root: Node) -> str:
             lists.pop()
         elif tag == "li":
             flow.marker = ""
-            flow.indent = flow.indent[: len(flow.indent) - indents.pop()]
+            flow.indent -= indents.pop()
         elif tag in ("pre", "xmp"):
             pre -= 1
         elif tag == "blockquote" or tag == "dd":
-            flow.indent = flow.indent[:-2]
+            flow.indent -= 2
     flow.line()
+    while flow.lines and not flow.lines[-1]:
+        flow.lines.pop()
     return "\n".join(flow.lines)
 
 

@@ -4,6 +4,7 @@ import base64
 import json
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -169,6 +170,20 @@ def test_checksums_and_context(spark):
     assert [r.scores for r in got] == ["iban:5:110", "", "card:12:100", "card:3:80", ""]
 
 
+def test_account_numbers_before_capital_words(spark):
+    numbers = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "NO9386011117947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR1420041010050500013M02606"]
+    around = ["{} EUR 500", "{} PLEASE PAY", "IBAN:{}, THANKS 2024", "A1 {} BIC COBADEFF", "X{}", "{}X", "{}9"]
+    texts = [a.format(n) for n in numbers for a in around]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_pii(frame).collect():
+        text, number, glued = texts[r.doc_id], numbers[r.doc_id // len(around)], r.doc_id % len(around) > 3
+        at = text.index(number)
+        assert r.spans.split(",").count(f"iban:{at}:{at + len(number)}") == (not glued), text
+    for r in pii.redact_pii(frame).collect():
+        number = numbers[r.doc_id // len(around)]
+        assert (number in r.text) == (r.doc_id % len(around) > 3)
+
+
 def test_pii_edges(spark):
     found = pii.find_pii(helpers.edges(spark))
     assert helpers.rows(found, "doc_id", "n_card") == sorted(((i, sum(k == "card" for k, *_ in helpers.pii_spans(t or ""))) for i, t, *_ in helpers.EDGES), key=str)
@@ -266,6 +281,70 @@ CASES += [
 ]
 
 
+CASES += [
+    ("a<b style='display:none;display:inline'>yes</b><p hidden style='display:block'>too</p><i style='display:block;display:none !important'>no", "ayes\n\ntoo"),
+    ("<details><summary>sum</summary><p>no<summary>no</summary></details><details open><summary>s</summary>yes</details>", "sum\ns\nyes"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("a<br><br>b<br>c<br><br><br>d", "a\n\nb\nc\n\n\nd"),
+    ("<ol><li value=5>a<li>b<li value=x>c</ol><ol reversed><li>a<li>b</ol><ol reversed start=9><li>a<li>b</ol>", "5. a\n6. b\n7. c\n\n2. a\n1. b\n\n9. a\n8. b"),
+    ("<table><tr><td rowspan=2>r<td>x<tr><td>y</table>", "r  x\n   y"),
+    ("<table><tr><td colspan=2>wide<td>z<tr><td>a<td>b<td>c</table>", "wide  z\na  b  c"),
+    ("<table><tr><td>a<td>b<td>c<tr><td colspan=2>d<td>e</table>", "a  b  c\nd     e"),
+    ("<table><tr><td>" + "w" * 70 + "<td>1<tr><td>a<td>2</table>", "w" * 70 + "  1\na  2"),
+]
+
+
+def spans_by_hand(rows):
+    """Columns of cells (across, down), by filling a matrix cell by cell."""
+    taken, out = set(), []
+    for y, row in enumerate(rows):
+        x, out_row = 0, []
+        for across, down in row:
+            while (x, y) in taken:
+                x += 1
+            out_row.append(x)
+            taken |= {(x + i, y + j) for i in range(across) for j in range(down)}
+            x += across
+        out.append(out_row)
+    return out
+
+
+def test_cells_stand_where_their_spans_place_them():
+    random_ = random.Random(4)
+    for _ in range(200):
+        rows = [[(random_.randint(1, 3), random_.randint(1, 4)) for _ in range(random_.randint(0, 4))] for _ in range(random_.randint(1, 90))]
+        grid = html_text.Grid()
+        for row in rows:
+            grid.row()
+            for across, down in row:
+                grid.cell("x", across, down)
+        assert [[c for c, *_ in row] for row in grid.rows] == spans_by_hand(rows)
+
+
+ROW = "<tr><td>a<td>b"
+HARD_PAGES = {
+    "a wide cell": "<table>" + ROW * 2000 + "<tr><td>" + "w" * 50_000 + "<td>c</table>",
+    "nested lists": "<ul><li>x" * 3000,
+    "open groups": "<svg>" + "<g>" * 25_000,
+    "formatting": "<p><button>" + "<b>" * 8000 + "<div>" * 8000,
+    "stray ends": "<table><tr><td>" + "<div>" * 8000 + "</i>" * 8000,
+    "nested tables": "<table><tr><td>" * 5000 + "w " * 30_000,
+    "spans": "<table><tr>" + "<td>x" * 1000 + ("<tr><td colspan=1000>y<td>z") * 2000 + "</table>",
+    "rows that last": "<table>" + "<tr><td rowspan=60000>x" * 4000 + "</table>",
+    "breaks": "a" + "<br>" * 30_000 + "b",
+    "bodies": "<body>" * 20_000 + "<div>" * 20_000 + "<body x>" * 20_000,
+}
+
+
+@pytest.mark.parametrize("name", HARD_PAGES)
+def test_hard_pages_take_time_and_room_like_others(name):
+    page = HARD_PAGES[name]
+    began = time.process_time()
+    text = html_text.visible_text(page)
+    assert time.process_time() - began < 2.5
+    assert len(text) < (2 if name in ("a wide cell", "open groups", "formatting", "stray ends", "nested tables", "breaks") else 12) * len(page)
+
+
 @pytest.mark.parametrize("page, text", CASES)
 def test_rendering(page, text):
     assert html_text.visible_text(page) == text
