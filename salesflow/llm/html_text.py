@@ -322,7 +322,7 @@ class Grid:
         across = min(max(across, 1), COLUMN_SPAN)
         if down > 1:
             for c in range(self.column, self.column + across):
-                self.held[c] = here + min(down, ROW_SPAN)
+                self.held[c] = max(self.held.get(c, 0), here + min(down, ROW_SPAN))
         self.rows[-1].append((self.column, across, text))
         self.column += across
 
