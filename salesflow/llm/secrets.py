@@ -43,10 +43,13 @@ DER_START = {64: re.compile(r"M(?=[A-P][A-Za-z0-9+/_-]{10})"), 16: re.compile(r"
 SSH_START = {64: re.compile(r"b3BlbnNzaC1rZXktdjEA"), 16: re.compile(r"6f70656e7373682d6b65792d763100", re.IGNORECASE)}
 CHUNK = {64: re.compile(r"[A-Za-z0-9+/_-]+"), 16: re.compile(r"[0-9A-Fa-f]+")}
 GAP = re.compile(r"\\+(?=/)|(?:[\"'][ \t]*[+.,]?)?(?:\\+[nrt]|\s|\\(?=\s))+(?:[\"'>#][ \t]*)?")
-JSON = json.JSONDecoder()
+JSON_MARK = re.compile(r'["{}\[\]]')
 PADDING = re.compile("={0,2}")
 LEAST_CHARS = {64: 40, 16: 64}
 SSH_MAGIC = b"openssh-key-v1\0"
+#: The longest names, options and blobs of OpenSSH keys, in bytes; those in use are far shorter.
+SSH_NAME, SSH_OPTIONS, SSH_BLOB = 64, 4096, 1 << 14
+#: Levels of nested DER elements; keys have less than ten.
 MAX_DEPTH = 16
 INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
@@ -104,27 +107,44 @@ def is_ssh_key(data: bytes) -> bool:
     return ssh_sizes(data) is not None
 
 
-def ssh_sizes(data: bytes) -> tuple[int, int | None] | None:
-    """The sizes of the OpenSSH private key that `data` starts with, without its private part and (None if that is cut
-    off) with it; None if it is none."""
+def ssh_layout(data: bytes) -> tuple[int, int, int]:
+    """(needed, public, whole) of the OpenSSH private key that `data` starts with: the bytes that tell more (0: it is
+    none, or nothing more is needed), the size without its private part, and the size with it; 0 where not known."""
     if not data.startswith(SSH_MAGIC):
-        return None
+        return 0, 0, 0
     at = len(SSH_MAGIC)
-    for _ in range(3):
+
+    def field(most: int, least: int = 0) -> int:
+        """Where the next field ends; -1 if no key has such a field."""
         size = int.from_bytes(data[at : at + 4], "big")
-        at += 4 + size
-        if at + 4 > len(data):
-            return None
+        return at + 4 + size if len(data) >= at + 4 and least <= size <= most else -1
+
+    for most in (SSH_NAME, SSH_NAME, SSH_OPTIONS):
+        if len(data) < at + 4:
+            return at + 4, 0, 0
+        if (at := field(most)) < 0:
+            return 0, 0, 0
+    if len(data) < at + 4:
+        return at + 4, 0, 0
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+    for _ in range(keys if 1 <= keys <= 16 else 0):
+        if len(data) < at + 4:
+            return at + 4, 0, 0
+        if (at := field(SSH_BLOB, 1)) < 0:
+            return 0, 0, 0
     if not 1 <= keys <= 16:
-        return None
-    for _ in range(keys):
-        size = int.from_bytes(data[at : at + 4], "big")
-        at += 4 + size
-        if size == 0 or at > len(data):
-            return None
+        return 0, 0, 0
+    if len(data) < at + 4:
+        return at + 4, at if len(data) >= at else 0, 0
     end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-    return at, end if at + 4 < end <= len(data) else None
+    return (0, at, 0) if end == at + 4 or end - at > SSH_BLOB else (end, at, end)
+
+
+def ssh_sizes(data: bytes) -> tuple[int, int | None] | None:
+    """The sizes of the OpenSSH private key that `data` starts with, without its private part and (None if that is cut
+    off) with it; None if it is none."""
+    _, public, whole = ssh_layout(data)
+    return (public, whole if whole <= len(data) and whole else None) if public else None
 
 
 def unpack(text: str, url: bool = False) -> bytes | None:
@@ -192,14 +212,17 @@ def bare_keys(text: str, base: int) -> Iterator[tuple[int, int, int, bool]]:
             over += len(PADDING.match(text, over)[0]) if base == 64 else 0
             yield at, KINDS.index("der"), over, len(stops) == 1
     for m in SSH_START[base].finditer(text):
-        wanted, at = 1 << 12, m.start()
-        while True:
+        wanted, at = chars(64), m.start()
+        while True:  # a few steps, each as far as the lengths read so far tell
             found, stops = taken(text, at, base, wanted)
             data = decoded(found, base)
-            sizes = ssh_sizes(data)
-            if len(found) < wanted or sizes and sizes[1]:
+            needed, public, _ = ssh_layout(data)
+            if len(found) < wanted or chars(needed) <= len(found):
                 break
-            wanted *= 2
+            if not public and chars(needed) > len(text) - at:
+                break
+            wanted = chars(needed)
+        sizes = ssh_sizes(data)
         size = sizes and sizes[1]
         if sizes and not size:  # cut off: as far as its line goes, or the lines with its public keys
             size = max(sizes[0], (stops[0] - at) * 3 // 4 if base == 64 else (stops[0] - at) // 2)
@@ -244,29 +267,42 @@ def signed_tokens(text: str) -> Iterator[tuple[int, int, int]]:
         rest = TOKEN_REST.match(text, m.end()) if m.start() >= over else None
         if not rest:
             continue
+        part = m[0]
         # the part is decoded once for each number of characters over a multiple of four; a header ends where it ends
-        first = {k: (len(m[0]) - k) % 4 for k in (0, 2, 3)}
-        data = {k: decoded(m[0][at:], 64).rstrip(b" \t\r\n").decode("latin-1") for k, at in first.items()}
-        for start in TOKEN_START.finditer(m[0]):
-            at, k = start.start(), (len(m[0]) - start.start()) % 4
-            if k == 1 or not data[k].endswith("}") or not is_header(data[k], (at - first[k]) // 4 * 3):
+        first = {k: (len(part) - k) % 4 for k in (0, 2, 3)}
+        data = {k: decoded(part[at:], 64).rstrip(b" \t\r\n").decode("latin-1") for k, at in first.items()}
+        ends = {k: object_at_end(x) for k, x in data.items()}
+        for start in TOKEN_START.finditer(part):
+            at, k = start.start(), (len(part) - start.start()) % 4
+            if k == 1 or not ends[k][0] <= (at - first[k]) // 4 * 3 <= ends[k][1]:
                 continue
-            if is_signed_token(m[0][at:] + rest[0]):
+            if is_signed_token(part[at:] + rest[0]):
                 over = rest.end()
                 yield m.start() + at, KINDS.index("jwt"), over
                 break
-
-
-def is_header(text: str, at: int) -> bool:
-    """True if what starts at a place of `text` is one JSON value that goes to its end."""
-    while text[at : at + 1] in (" ", "\t", "\r", "\n"):
-        at += 1
-    if text[at : at + 1] != "{":
-        return False
-    try:
-        return JSON.raw_decode(text, at)[1] == len(text)
-    except (ValueError, RecursionError):
-        return False
+            ends[k] = (0, -1)  # the other starts differ by white space only
+
+
+def object_at_end(text: str) -> tuple[int, int]:
+    """Where an object that ends with the text must start, if the text from there on is JSON, and the first of the white
+    space before it: read once, from the end. (0, -1) if there is none."""
+    if not text.endswith("}"):
+        return 0, -1
+    depth, inside = 0, False
+    for at in reversed([m.start() for m in JSON_MARK.finditer(text)]):
+        mark = text[at]
+        if inside:
+            escapes = at
+            while escapes and text[escapes - 1] == "\\":
+                escapes -= 1
+            inside = mark != '"' or (at - escapes) % 2 == 1
+        elif mark == '"':
+            inside = True
+        else:
+            depth += 1 if mark in "}]" else -1
+            if not depth:
+                return (len(text[:at].rstrip(" \t\r\n")), at) if mark == "{" else (0, -1)
+    return 0, -1
 
 
 def is_signed_token(text: str) -> bool:

@@ -244,6 +244,38 @@ def test_native_plans(spark):
         assert not re.search("Python|Pandas|Arrow|Exchange", plan)
 
 
+def b64(data):
+    return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+
+HARD_TEXTS = {
+    "magic": "b3BlbnNzaC1rZXktdjEA" * 50_000,
+    "magic in hex": "6f70656e7373682d6b65792d763100" * 33_000,
+    "nested headers": b64(b'{"a":' * 150_000 + b"1" + b"}" * 150_000) + ".eyJhIjoxfQ.abcd",
+    "open headers": b64(b'{"a":' * 150_000 + b"}") + ".eyJhIjoxfQ.abcd",
+    "many objects": b64(b'{"a":[' + b"{}," * 200_000 + b"{}]}") + ".eyJhIjoxfQ.abcd",
+    "white space": b64(b" " * 400_000 + b'{"a":"' + b"x" * 300_000 + b'"}') + ".W10.abcd",
+    "key starts": "MIIEowIBAAKCAQEA" * 60_000,
+}
+
+
+@pytest.mark.parametrize("name", HARD_TEXTS)
+def test_long_runs_without_secrets_take_time_by_their_length(name):
+    began = time.process_time()
+    found = secrets.secret_spans(HARD_TEXTS[name])
+    assert time.process_time() - began < 6
+    assert all(kind == 2 for _, kind, _ in found)
+
+
+def test_headers_that_hold_braces_in_strings_are_found():
+    head = b64(b'{"alg":"HS256","k}":"a{\\"}]\\\\"}')
+    token = f"{head}.{b64(b'{}')}.{b64(b'signature')}"
+    assert secrets.secret_spans("x=" + token) == [(2, 6, 2 + len(token))]
+    for lead in (b" ", b"\n\t ", b"  "):
+        other = f"{b64(lead + base64.urlsafe_b64decode(head + '=' * (-len(head) % 4)))}.{b64(b'{}')}.{b64(b'signature')}"
+        assert secrets.secret_spans(other) == [(0, 6, len(other))]
+
+
 # --- pages ---
 
 CASES = [
