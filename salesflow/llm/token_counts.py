@@ -8,7 +8,8 @@ Two deterministic machines count the tokens of a byte-level BPE vocabulary witho
 * The counter reads the bytes of one match. A state holds, for each place where a token could still start, the
   vocabulary prefix read since, the token that ends there and how many tokens lead to it, less the least of these
   counts; a transition emits by how much that least count grows. Transitions are compiled when first taken, and the
-  whole table is dropped when it reaches its bound, as lazily compiled automata do, so memory is bounded.
+  whole table is dropped when it reaches its bound, as lazily compiled automata do, so memory is bounded. A match of more
+  than LONG bytes is cut into chunks, whose state maps are computed together and composed.
 
 Both run over all chunks, and all matches, of a batch at once (numpy).
 """
@@ -34,6 +35,8 @@ STATES = 11
 C_LETTER, C_NUMBER, C_SPACE, C_WHITE, C_OTHER, C_QUOTE, C_R, C_V, C_L, C_E, C_STMD = range(11)
 CLASSES = 11
 CHUNK = 256
+#: Matches of more bytes are counted by chunks, with at most so many states guessed for the start of each.
+LONG, ENTRIES = 1024, 32
 #: States that the counter's table holds at most, and characters that are worked on at once.
 MAX_STATES = 200_000
 GROUP = 1 << 21
@@ -234,29 +237,78 @@ class Counter:
             at = (at + 1) & mask
         self.keys[at], self.next[at], self.emit[at] = key, into, least
 
+    def taken(self, keys: np.ndarray) -> np.ndarray:
+        """The slots of transitions (state * 256 + byte), compiled where they are new."""
+        slot = self.slots(keys)
+        lacking = keys[self.keys[slot] < 0]
+        if len(lacking):
+            for x in np.unique(lacking).tolist():
+                self.compile(x >> 8, x & 255)
+            slot = self.slots(keys)
+        return slot
+
     def count(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Tokens of each data[start : start + size], all matches stepping together."""
-        order = np.argsort(-sizes, kind="stable")
-        at, sizes = starts[order], sizes[order]
-        alive = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1 if len(sizes) else 1), side="right")
+        """Tokens of each data[start : start + size]: short matches all step together, long ones by their chunks."""
         if len(self.states) > MAX_STATES:
             self.reset()
+        order = np.argsort(-sizes, kind="stable")
+        n_long = int(np.searchsorted(-sizes[order], -LONG, side="left"))
+        out = np.empty(len(sizes), np.int64)
+        short = order[n_long:]
+        at, sizes_ = starts[short], sizes[short]
+        alive = np.searchsorted(-sizes_, -np.arange(1, int(sizes_[0]) + 1 if len(sizes_) else 1), side="right")
         state, total = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         for k, m in enumerate(alive):
-            key = (state[:m] << 8) + data[at[:m] + k]
-            slot = self.slots(key)
-            lacking = key[self.keys[slot] < 0]
-            if len(lacking):
-                for x in np.unique(lacking).tolist():
-                    self.compile(x >> 8, x & 255)
-                slot = self.slots(key)
+            slot = self.taken((state[:m] << 8) + data[at[:m] + k])
             total[:m] += self.emit[slot]
             state[:m] = self.next[slot]
-        total += self.final[state]
-        out = np.empty_like(total)
-        out[order] = total
+        out[short] = total + self.final[state]
+        for i in order[:n_long].tolist():
+            out[i] = self.count_long(data[starts[i] : starts[i] + sizes[i]])
         return out
 
+    def state_maps(self, chunks: list[bytes], entries: list[int]) -> list[tuple[int, int]]:
+        """(state after, tokens emitted) of each chunk entered in a state: all chunks step together."""
+        rows = np.frombuffer(b"".join(chunks), np.uint8).reshape(len(chunks), -1).T.astype(np.int64)
+        state, total = np.array(entries, np.int64), np.zeros(len(chunks), np.int64)
+        for column in rows:
+            slot = self.taken((state << 8) + column)
+            total += self.emit[slot]
+            state = self.next[slot].astype(np.int64)
+        return list(zip(state.tolist(), total.tolist(), strict=True))
+
+    def count_long(self, data: np.ndarray) -> int:
+        """Tokens of one long match. Its chunks are turned into state maps, all at once, for the states in which the chunk
+        before can end as far as is known; the maps are then composed from the left. Most chunks end in the same state
+        whatever they were entered in, so two or three rounds do; equal chunks share their maps, as in runs of one sign."""
+        whole = len(data) // CHUNK * CHUNK
+        chunks = [data[i : i + CHUNK].tobytes() for i in range(0, whole, CHUNK)]
+        maps: dict[bytes, dict[int, tuple[int, int]]] = {c: {} for c in chunks}
+        at = state = total = 0
+        wanted = {(c, 0) for c in maps}
+        while at < len(chunks):
+            if len(self.states) > MAX_STATES:
+                items = self.states[state]
+                self.reset()
+                state, maps = self.state(items), {c: {} for c in maps}
+                wanted = set()
+            pairs = sorted(wanted | {(chunks[at], state)})
+            for (chunk, entry), found in zip(pairs, self.state_maps(*map(list, zip(*pairs, strict=True))), strict=True):
+                maps[chunk][entry] = found
+            while at < len(chunks) and state in maps[chunks[at]]:
+                state, emitted = maps[chunks[at]][state]
+                total, at = total + emitted, at + 1
+            wanted = {
+                (after, exit_)
+                for before, after in zip(chunks[at:], chunks[at + 1 :])
+                for exit_, _ in maps[before].values()
+                if exit_ not in maps[after] and len(maps[after]) < ENTRIES
+            }
+        for byte in data[whole:].tolist():
+            slot = self.taken(np.array([(state << 8) + byte], np.int64))
+            state, total = int(self.next[slot[0]]), total + int(self.emit[slot[0]])
+        return total + int(self.final[state])
+
 
 @functools.cache
 def machines(path: str) -> tuple[Counter, regex.Pattern | None]:

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import struct
+import time
 
 import public_tokenizers
 import pytest
@@ -21,6 +22,30 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SF = "/root/testdata/sf0.001"
 
 
+def long_matches():
+    random_ = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return {
+        "one letter": "a" * 100_000, "one sign": "=" * 300_001, "any letters": "".join(random_.choice(letters) for _ in range(30_000)),
+        "words": "".join(random_.choice(["the", "token", "izer", "ing", "un", "straw", "berry"]) for _ in range(20_000)),
+        "digits": "".join(random_.choice("0123456789") for _ in range(10_000)), "han": "".join(chr(random_.randint(0x4E00, 0x9FFF)) for _ in range(4000)),
+        "at the bound": "q" * token_counts.LONG, "over it": "q" * (token_counts.LONG + 1), "two": "ab" * 700 + " " + "é" * 3000,
+    }
+
+
+@pytest.mark.parametrize("name", long_matches())
+def test_long_matches_by_state_maps(name, monkeypatch):
+    text, library = long_matches()[name], Tokenizer.from_file(JSON)
+    wanted = len(library.encode(text, add_special_tokens=False).ids)
+    assert token_counts.count_tokens([text], JSON) == [wanted]
+    began = time.process_time()  # the transitions are compiled now
+    assert token_counts.count_tokens([text], JSON) == [wanted]
+    assert time.process_time() - began < 1
+    monkeypatch.setattr(token_counts, "MAX_STATES", 50)  # the table is dropped between rounds
+    monkeypatch.setattr(token_counts, "ENTRIES", 1)
+    assert token_counts.count_tokens([text[:6000]], JSON) == [len(library.encode(text[:6000], add_special_tokens=False).ids)]
+
+
 @pytest.fixture(scope="module")
 def library():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
