@@ -261,18 +261,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def cut(batches):
         evidence = Evidence(features)
         for batch in batches:
-            windows, toxic = [], []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            windows, toxic, keys, places = [], [], [], []
+            for text, label, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 kinds = [evidence[x] for x in text.split()]
                 for at in range(0, len(kinds), WINDOW):
                     part = kinds[at : at + WINDOW]
                     if at == 0 or any(part):
                         windows.append(part)
                         toxic.append(label)
-            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.list_(pa.int32())), pa.array(toxic, pa.int32())], ["w", "toxic"])
-
-    cut_out = sample.mapInArrow(cut, "w array<int>, toxic int")
-    rows = cut_out.orderBy(F.xxhash64("w", "toxic")).limit(MAX_WINDOWS).collect()
+                        keys.append(key)
+                        places.append(at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(windows, pa.list_(pa.int32())), pa.array(toxic, pa.int32()), pa.array(keys, pa.int64()), pa.array(places, pa.int32())],
+                ["w", "toxic", "key", "place"],
+            )
+
+    # drawn by text and place, not by content: of many equal windows a share is drawn, as of all others
+    cut_out = sample.select("text", "toxic", F.xxhash64("text").alias("key")).mapInArrow(cut, "w array<int>, toxic int, key long, place int")
+    rows = cut_out.orderBy(F.xxhash64("key", "place"), "key", "place").limit(MAX_WINDOWS).collect()
     tokens = np.full((len(rows), WINDOW), -1, np.int64)
     for i, r in enumerate(rows):
         tokens[i, : len(r["w"])] = r["w"]
