@@ -8,12 +8,13 @@ that equal strings always meet, and whole documents never do:
    it form a fragment. Chunks send the hashes they have to buckets (each once), which send back those that more than
    one document has. Most text ends here.
 3. Chunks send the fragments of repeated minimizers, each distinct one once, with its least document, to buckets. A
-   bucket orders all suffixes of its fragments by their first `span` bytes, fragments of earlier documents first,
-   builds the run-compressed Burrows-Wheeler transform of that order, and streams every fragment through it from its
-   end: each backward step gives the interval of rows that start with the window one byte to the left, and the sample
-   at the interval's head names the least document that has it. Fragments that are alone with their minimizer need no
-   index. A minimizer that more than HOT fragments have is not one group: its fragments are cut into their windows,
-   which meet by a hash of all their bytes instead.
+   bucket takes its fragments in batches, those of earlier documents first. Each batch gets a run-compressed
+   Burrows-Wheeler transform with sampled run ends. The fragments of a batch are streamed from their ends through the
+   indexes of the batches before, and through its own: the matching statistics (how many bytes from here match, up to
+   `span`, and where) give the least document of each window. Only fragments with a window that no earlier batch has
+   are indexed, and of an index only what is proportional to its runs is kept. Fragments that are alone with their
+   minimizer need no index. A minimizer with more than HOT_BYTES of fragments is not one group: its fragments are cut
+   into their windows, which meet by a hash of all their bytes instead.
 4. The windows with an earlier document come back to the chunks, which mark the bytes.
 """
 
@@ -29,6 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 from .common import cut_lineage, id_and_text, sha256
 
@@ -37,10 +39,13 @@ K = 20
 #: Bytes of text in a chunk, and of the text whose hashes and fragments a bucket gets on average.
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 24 << 20
-#: Bytes of fragments that one index covers, unless a single minimizer has more.
+#: Bytes of fragments that one index covers, and that are streamed at once.
 INDEX_BYTES = 1 << 20
-#: Fragments that may meet by one minimizer.
-HOT = 100_000
+#: Windows of a fragment; longer ones (rulers, padding, other periodic text) are cut, so that their parts can be equal.
+PIECE = 1024
+#: Bytes of fragments that may meet by one minimizer, and the unit in which chunks count them.
+HOT_BYTES = 8 << 20
+UNIT = 64
 #: Bytes whose windows are hashed at once.
 BLOCK = 1 << 16
 #: Of zstd, for everything that is written or shuffled.
@@ -48,6 +53,8 @@ LEVEL = 5
 LOW = np.uint64((1 << 40) - 1)
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
+NONE = np.iinfo(np.int64).max
+
 Rows = Iterator[tuple]
 
 
@@ -162,6 +169,10 @@ class Chunk:
         first[1:] &= ~inside[:-1] | (least[1:] != least[:-1])
         starts = np.flatnonzero(first)
         stops = np.flatnonzero(inside & np.append(first[1:] | ~inside[1:], True)) + 1
+        parts = -(-(stops - starts) // PIECE)
+        starts, stops = np.repeat(starts, parts), np.repeat(stops, parts)
+        starts = starts + PIECE * (np.arange(len(starts)) - np.repeat(np.cumsum(parts) - parts, parts))
+        stops = np.minimum(stops, starts + PIECE)
         return starts, stops - starts, least[starts], np.searchsorted(self.ends, starts, side="right")
 
 
@@ -202,31 +213,35 @@ def split_hash(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
 
 
 def hashes_by_bucket(chunk: str, blob: bytes, buckets: int) -> Rows:
-    """(bucket, chunk, blob): the minimizers of a chunk, whether more than one of its documents has them, and how
-    often they come."""
+    """(bucket, chunk, blob): the minimizers of a chunk, whether more than one of its documents has them, and the
+    bytes of their fragments in units (equal fragments, told apart by size and sum, count once)."""
     here = Chunk(blob)
-    _, _, least, doc = here.fragments()
+    starts, sizes, least, doc = here.fragments()
     bucket, low = split_hash(least, buckets)
-    order = np.lexsort((low, bucket))
-    bucket, low, ids = bucket[order], low[order], here.ids[doc[order]]
-    new = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]))[: len(low)])
+    sums = np.append(0, np.cumsum(here.data, dtype=np.int64))
+    kind = (sums[starts + sizes + SPAN - 1] - sums[starts]) * (2 * PIECE) + sizes
+    order = np.lexsort((kind, low, bucket))
+    bucket, low, ids, kind = bucket[order], low[order], here.ids[doc[order]], kind[order]
+    other = (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1])
+    new = np.flatnonzero(np.append(True, other)[: len(low)])
     if not len(new):
         return
     several = np.minimum.reduceat(ids, new) != np.maximum.reduceat(ids, new)
-    times = np.minimum(np.diff(np.append(new, len(low))), 65_535).astype(np.uint16)
+    held = np.where(np.append(True, other | (kind[1:] != kind[:-1])), sizes[order] + SPAN - 1, 0)
+    units = np.minimum(-(-np.add.reduceat(held, new) // UNIT), 65_535).astype(np.uint16)
     bucket, low = bucket[new], low[new]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(low)]):
-        yield int(bucket[a]), chunk, pack(narrow(low[a:b]), np.packbits(several[a:b]), times[a:b])
+        yield int(bucket[a]), chunk, pack(narrow(low[a:b]), np.packbits(several[a:b]), units[a:b])
 
 
 def find_repeated(bucket: int, rows: Rows) -> Rows:
     """(chunk, bucket, blob): of what the chunks sent, what more than one document has, and what is hot."""
     chunks, lows, flags, counts = [], [], [], []
     for _, chunk, blob in rows:
-        low, several, times = unpack(blob, "u1", "u1", "u2")
+        low, several, units = unpack(blob, "u1", "u1", "u2")
         chunks.append(chunk)
-        counts.append(times)
+        counts.append(units)
         lows.append(widen(low))
         flags.append(np.unpackbits(several, count=len(lows[-1])).astype(bool))
     every = np.concatenate(lows)
@@ -235,7 +250,7 @@ def find_repeated(bucket: int, rows: Rows) -> Rows:
     new = np.append(True, ordered[1:] != ordered[:-1])
     group = np.cumsum(new) - 1
     twice = (np.bincount(group) > 1) | (np.bincount(group, weights=np.concatenate(flags)[order]) > 0)
-    many = np.bincount(group, weights=np.concatenate(counts)[order]) > HOT
+    many = np.bincount(group, weights=np.concatenate(counts)[order]) * UNIT > HOT_BYTES
     again, hot = np.empty(len(every), bool), np.empty(len(every), bool)
     again[order], hot[order] = twice[group], many[group]
     at = 0
@@ -299,20 +314,20 @@ class RunLengthIndex:
     """The run-compressed transform of strings, given in the order of their least documents.
 
     Rows are all suffixes, by their first SPAN bytes and then by place; a row's character is the byte before its
-    suffix. An interval is the rows that agree in their first SPAN bytes. `step` extends the window of an interval
-    by a byte to the left: the rows of the interval that follow this byte keep their order among the rows that start
-    with it, so the first of them, found by rank over the runs, lies in the interval of the window one to the left.
+    suffix. An interval is the rows that agree in their first SPAN bytes, and a run is successive rows of an interval
+    with one character. Rows of one character keep their order, up to intervals, when that byte is put in front of them.
+    Kept are, for each run, its character, start, length and the row it leads to; for each interval the sample at the
+    end of its first run, which is the least document that has the window, and the number of bytes that it shares
+    with the interval before (`others`: needed for strings that are not in the index); and one row for each string.
     """
 
-    def __init__(self, strings: list[bytes], least: np.ndarray):
+    def __init__(self, strings: list[bytes], least: np.ndarray, others: bool = True):
         sizes = np.array([len(x) for x in strings], np.int64)
         text = np.zeros(int(sizes.sum()) + len(strings) + 1, np.int64)  # 0 stands between strings
         joined = np.frombuffer(b"".join(strings), np.uint8)
-        self.begins = np.cumsum(sizes + 1) - sizes
         place = np.arange(len(joined)) + np.repeat(np.arange(len(strings)) + 1, sizes)
         text[place] = joined.astype(np.int64) + 1
-        n = len(text)
-        self.sizes = sizes
+        self.n = n = len(text)
         ahead = lambda x, by: np.append(x[by:], np.zeros(min(by, n), x.dtype))
         key = np.zeros(n, np.int64)
         for j in range(7):
@@ -326,41 +341,124 @@ class RunLengthIndex:
         self.heads = np.flatnonzero(head)
         owner = np.append(np.repeat(np.arange(len(strings)), sizes + 1), len(strings) - 1)
         self.sample = least[owner[rows[self.heads]]]
-        self.row_of = np.empty(n, np.int64)
-        self.row_of[rows] = np.arange(n)
+        row_of = np.empty(n, np.int64)
+        row_of[rows] = np.arange(n)
+        self.entry = row_of[np.cumsum(sizes + 1) - SPAN]  # of each string's last window
         before = text[rows - 1]  # a place before the first one reads the last separator
-        change = np.append(True, before[1:] != before[:-1])
-        self.runs = np.flatnonzero(change)
-        symbol, length = before[self.runs], np.diff(np.append(self.runs, n))
+        runs = np.flatnonzero(head | np.append(True, before[1:] != before[:-1]))
+        symbol, length = before[runs], np.diff(np.append(runs, n))
         by_symbol = np.argsort(symbol, kind="stable")
-        self.symbol, self.start, self.length = symbol[by_symbol], self.runs[by_symbol], length[by_symbol]
+        self.symbol, self.start, self.length = symbol[by_symbol], runs[by_symbol], length[by_symbol]
+        self.interval = (np.cumsum(head) - 1)[self.start]
         self.keys = self.symbol * n + self.start
         self.target = np.cumsum(self.length) - self.length
-        self.text = text
-
-    def step(self, heads: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """For each interval, by its first row, the row of its first suffix that follows the symbol."""
-        run = np.maximum(np.searchsorted(self.keys, symbols * len(self.text) + heads, side="right") - 1, 0)
-        within = np.where(self.symbol[run] == symbols, np.minimum(heads - self.start[run], self.length[run]), self.length[run])
-        return self.target[run] + within
-
-    def stream(self) -> tuple[np.ndarray, np.ndarray]:
-        """The least document of every window, the sample at the head of its interval, string by string; and where
-        each string's windows begin."""
-        windows = self.sizes - SPAN + 1
+        self.shared = [_shared(text, rows[self.heads])] if others else []
+        while self.shared and len(self.shared[-1]) > 1 << (len(self.shared) - 1):
+            last, by = self.shared[-1], 1 << (len(self.shared) - 1)
+            self.shared.append(np.minimum(last[:-by], last[by:]))
+
+    def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many first bytes two intervals share: the least that neighbours from one to the other share."""
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        out = np.full(len(a), SPAN, np.int64)
+        for i in np.flatnonzero(low < high).tolist() if len(a) < 8 else ():
+            level = int(high[i] - low[i]).bit_length() - 1
+            out[i] = min(self.shared[level][low[i] + 1], self.shared[level][high[i] + 1 - (1 << level)])
+        if len(a) >= 8:
+            level = np.frexp((high - low).astype(np.float64))[1] - 1
+            for k in np.unique(level[low < high]).tolist():
+                at = np.flatnonzero((level == k) & (low < high))
+                out[at] = np.minimum(self.shared[k][low[at] + 1], self.shared[k][high[at] + 1 - (1 << k)])
+        return out
+
+    def step(self, rows: np.ndarray, length: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and lengths of the matches with a byte more to the left.
+
+        A row whose character is another byte gives way to the end of the next run of this byte, above or below,
+        whichever shares more with it.
+        """
+        run = np.searchsorted(self.keys, symbols * self.n + rows, side="right") - 1
+        at = np.maximum(run, 0)
+        above = (run >= 0) & (self.symbol[at] == symbols)
+        within = rows - self.start[at]
+        out, length = self.target[at] + within, length.copy()
+        lost = np.flatnonzero(~above | (within >= self.length[at]))
+        if len(lost):
+            row, up = rows[lost], at[lost]
+            down = np.minimum(run[lost] + 1, len(self.keys) - 1)
+            mine = np.searchsorted(self.heads, row, side="right") - 1
+            same_up, same_down = above[lost], (self.symbol[down] == symbols[lost]) & (self.start[down] > row)
+            if self.shared:
+                up_shares = np.where(same_up, self.agree(self.interval[up], mine), -1)
+                down_shares = np.where(same_down, self.agree(self.interval[down], mine), -1)
+            else:  # the byte comes within the interval
+                up_shares = np.where(same_up & (self.interval[up] == mine), SPAN, -1)
+                down_shares = np.where(same_down & (self.interval[down] == mine), SPAN, -1)
+            best = np.maximum(up_shares, down_shares)
+            out[lost] = np.where(up_shares >= down_shares, self.target[up] + self.length[up] - 1, self.target[down])
+            length[lost] = np.minimum(length[lost], best)  # -1: no such byte
+            out[lost[best < 0]] = 0
+        return out, np.minimum(length + 1, SPAN)
+
+    def match(self, strings: list[bytes], own: bool = False) -> np.ndarray:
+        """The least document of every window of the strings, one after the other; NONE for windows the index lacks.
+
+        All strings are streamed at once, each from its end. `own`: these are the strings of the index.
+        """
+        sizes = np.array([len(x) for x in strings], np.int64)
+        data = np.frombuffer(b"".join(strings), np.uint8)
+        windows, begins = sizes - SPAN + 1, np.cumsum(sizes) - sizes
         offsets = np.cumsum(windows) - windows
-        out = np.empty(int(windows.sum()), np.int64)
-        order = np.argsort(-windows, kind="stable")
-        alive = np.searchsorted(-windows[order], -np.arange(1, windows.max() + 1), side="right")
-        place = (self.begins + windows - 1)[order]
-        rows = self.row_of[place]
-        for k, m in enumerate(alive):
-            if k:
-                rows = self.step(self.heads[interval[:m]], self.text[place[:m] - k])
-            interval = np.searchsorted(self.heads, rows, side="right") - 1
-            at = order[:m]
-            out[offsets[at] + windows[at] - 1 - k] = self.sample[interval]
-        return out, offsets
+        out = np.full(int(windows.sum()), NONE)
+        left = windows if own else sizes
+        order = np.argsort(-left, kind="stable")
+        alive = np.searchsorted(-left[order], -np.arange(1, left.max() + 1), side="right")
+        left, windows, begins, offsets = left[order], windows[order], begins[order], offsets[order]
+        rows = self.entry[order] if own else np.zeros(len(order), np.int64)
+        length = np.full(len(order), SPAN if own else 0)
+        for k, m in enumerate(alive.tolist()):
+            place, rows, length = left[:m] - 1 - k, rows[:m], length[:m]
+            if k or not own:
+                rows, length = self.step(rows, length, data[begins[:m] + place].astype(np.int64) + 1)
+            full = np.flatnonzero(length == SPAN)
+            out[offsets[full] + place[full]] = self.sample[np.searchsorted(self.heads, rows[full], side="right") - 1]
+        return out
+
+
+def _shared(text: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How many of their first SPAN bytes successive suffixes share; 0 for the first."""
+    out = np.zeros(len(places), np.uint8)
+    going = np.arange(1, len(places))
+    for j in range(SPAN):
+        one, two = places[going - 1] + j, places[going] + j
+        inside = (one < len(text)) & (two < len(text))
+        going, one, two = going[inside], one[inside], two[inside]
+        going = going[text[one] == text[two]]
+        out[going] += 1
+    return out
+
+
+def least_documents(strings: list[bytes], least: np.ndarray) -> list[np.ndarray]:
+    """Of each string, in order of their least documents, the least document of each window."""
+    out, earlier = [], []
+    sizes = np.array([len(x) for x in strings], np.int64)
+    batch = (np.cumsum(sizes) - 1) // (2 * INDEX_BYTES)
+    cuts = [*np.flatnonzero(np.append(True, batch[1:] != batch[:-1])).tolist(), len(strings)]
+    for a, b in itertools.pairwise(cuts):
+        windows = sizes[a:b] - SPAN + 1
+        begins = np.cumsum(windows) - windows
+        found = np.full(int(windows.sum()), NONE)
+        for index in earlier:
+            found = np.minimum(found, index.match(strings[a:b]))
+        new = np.maximum.reduceat(found, begins) == NONE
+        if new.any():
+            fresh = [x for x, is_new in zip(strings[a:b], new.tolist()) if is_new]
+            index = RunLengthIndex(fresh, least[a:b][new], others=b < len(strings))
+            at = np.repeat(new, windows)
+            found[at] = np.minimum(found[at], index.match(fresh, own=True))
+            earlier.append(index)
+        out += np.split(found, begins[1:])
+    return out
 
 
 def bucket_answers(bucket: int, rows: Rows) -> Rows:
@@ -393,10 +491,7 @@ def bucket_answers(bucket: int, rows: Rows) -> Rows:
 
     def index() -> None:
         by = sorted(held, key=lambda i: least[i])
-        made = RunLengthIndex([strings[i] for i in by], least[by])
-        docs, offsets = made.stream()
-        for i, at in zip(by, offsets.tolist()):
-            found[i] = docs[at : at + int(sizes[i])]
+        found.update(zip(by, least_documents([strings[i] for i in by], least[by])))
 
     last = -1
     for i, g, single in zip(order.tolist(), group.tolist(), alone.tolist()):
@@ -495,8 +590,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Columns: the id, n_bytes, n_removed, n_spans (runs of removed bytes within the document) and kept_sha256; with
     `texts` also kept, the bytes that stay. Texts shorter than the span, null and empty ones stay whole. Rows with a
     null id neither lose nor remove anything; rows of equal ids don't remove each other's passages; other columns
-    are not read, so their names can't clash.
+    are not read, so their names can't clash. Ids are whole numbers (or all null): a column of another type is refused
+    with a TypeError, since its order would not be that of the numbers.
     """
+    id_type = docs.schema[id_col].dataType
+    if not isinstance(id_type, (IntegralType, NullType)):
+        raise TypeError(f"{id_col} has to hold whole numbers, not {id_type.simpleString()}")
     chunks = cut_lineage(pack_chunks(docs.withColumn(id_col, F.col(id_col).cast("long")), id_col, text_col))
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))

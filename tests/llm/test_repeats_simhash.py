@@ -29,10 +29,11 @@ def test_repeats_equal_brute_force(spark, monkeypatch, bucket):
     assert helpers.rows(repeats.without_repeats(frame)) == helpers.repeats(documents)
 
 
-@pytest.mark.parametrize("hot", [0, 3, 40])
-def test_hot_minimizers_and_small_chunks(monkeypatch, hot):
+@pytest.mark.parametrize("hot, piece", [(0, 1024), (300, 7), (4000, 40)])
+def test_hot_minimizers_and_small_chunks(monkeypatch, hot, piece):
     """The steps of the operator by hand, with limits that only workers would see otherwise."""
-    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "HOT_BYTES", hot)
+    monkeypatch.setattr(repeats, "PIECE", piece)
     monkeypatch.setattr(repeats, "INDEX_BYTES", 500)
     monkeypatch.setattr(repeats, "BLOCK", 64)
     documents, buckets = passages(8), 3
@@ -69,14 +70,71 @@ def test_hot_minimizers_and_small_chunks(monkeypatch, hot):
         assert expected[i, helpers.sha(kept)] == gone.sum()
 
 
+def slow_least(strings, least, p, s):
+    return min((d for d, t in zip(least, strings) if s[p : p + 50] in t), default=repeats.NONE)
+
+
 def test_index_orders_windows_by_least_document():
     strings = [b"a" * 60, b"b" + b"a" * 55, b"c" * 50 + b"a" * 50, b"cc" + b"a" * 52]
     least = np.array([1, 4, 6, 9])
-    docs, offsets = repeats.RunLengthIndex(strings, least).stream()
-    for i, s in enumerate(strings):
-        for p in range(len(s) - 49):
-            first = min(least[j] for j, t in enumerate(strings) if s[p : p + 50] in t)
-            assert docs[offsets[i] + p] == first
+    docs = repeats.RunLengthIndex(strings, least, others=False).match(strings, own=True)
+    assert docs.tolist() == [slow_least(strings, least, p, s) for s in strings for p in range(len(s) - 49)]
+
+
+def pieces(seed, n):
+    """Strings of few letters, periodic ones, and mosaics of a few passages with single bytes changed."""
+    random_ = random.Random(seed)
+    base = [bytes(random.Random(i).choice(b"ab\x00\xff") for _ in range(140)) for i in range(4)] + [b"-" * 140, b"-=" * 70]
+    out = []
+    for _ in range(n):
+        text = bytearray(b"".join(random_.choice(base)[random_.randint(0, 60) :][: random_.randint(30, 140)] for _ in range(3)))
+        for _ in range(random_.randint(0, 2)):
+            text[random_.randrange(len(text))] = random_.randrange(256)
+        out.append(bytes(text[: random_.randint(50, max(50, len(text)))]).ljust(50, b"."))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_matching_statistics_of_other_strings(seed):
+    """Strings that the index lacks, in whole or in part, with bytes it has never seen."""
+    strings, others = pieces(seed, 30), pieces(seed + 100, 30) + pieces(seed, 5) + [b"Q" * 70]
+    least = np.sort(np.array([random.Random(seed + i).randint(0, 40) for i in range(30)]))
+    docs = repeats.RunLengthIndex(strings, least).match(others)
+    assert docs.tolist() == [slow_least(strings, least, p, s) for s in others for p in range(len(s) - 49)]
+    assert 0 < np.count_nonzero(docs == repeats.NONE) < len(docs)
+
+
+@pytest.mark.parametrize("size", [100, 700, 1 << 20])
+def test_batches_equal_one_index(monkeypatch, size):
+    monkeypatch.setattr(repeats, "INDEX_BYTES", size)
+    strings = pieces(7, 60)
+    least = np.sort(np.array([random.Random(i).randint(0, 50) for i in range(60)]))
+    got = repeats.least_documents(strings, least)
+    assert [x.tolist() for x in got] == [[slow_least(strings, least, p, s) for p in range(len(s) - 49)] for s in strings]
+
+
+def test_index_keeps_runs_only():
+    """300 overlapping parts of a passage and 20 copies with a byte changed: the index follows the changes, not the text."""
+    random_ = random.Random(3)
+    passage = bytes(random_.randrange(97, 123) for _ in range(600))
+    strings = [passage[:i] + b"#" + passage[i + 1 :] for i in range(0, 600, 30)] + [passage[a : a + 300] for a in range(300)]
+    made = repeats.RunLengthIndex(strings, np.arange(len(strings)), others=False)
+    held = [x for x in vars(made).values() if isinstance(x, np.ndarray)]
+    assert max(len(x) for x in held) < made.n / 4
+
+
+def test_long_periodic_texts_are_cut(spark):
+    """Rulers of 200 KB in several documents: equal parts are sent once, and the result is as by brute force."""
+    documents = [(i, "x" * i + "-" * 200_000 + "=-" * 3000) for i in range(4)] + [(9, "-" * 49)]
+    got = {r.doc_id: r for r in repeats.without_repeats(spark.createDataFrame(documents, "doc_id long, text string")).collect()}
+    assert [got[i].n_removed for i in (0, 1, 2, 3, 9)] == [0, 206_000, 206_001, 206_002, 0]
+    here = repeats.Chunk(repeats.pack(np.array([1]), np.array([True]), np.array([200_000]), np.frombuffer(b"-" * 200_000, np.uint8)))
+    assert here.fragments()[1].max() == repeats.PIECE
+
+
+def test_ids_that_are_no_numbers_are_refused(spark):
+    with pytest.raises(TypeError, match="whole numbers"):
+        repeats.without_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
 
 
 def test_repeats_query(spark):
