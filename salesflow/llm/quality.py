@@ -30,13 +30,22 @@ STOP_WORDS = sorted(set(
     "el los las del se por para con no una su al lo como y".split()
 ))
 
-#: (rule, numerator, denominator, least, most): bounds are per 1000 of the denominator; None leaves a side open.
-RULES: list[tuple[str, str, str, int | None, int | None]] = [
-    ("mean_word_length", "word_chars", "n_words", 2_000, 12_000),
-    ("symbols_per_word", "n_symbols", "n_words", None, 300),
-    ("stop_words_per_word", "n_stop_words", "n_words", 20, None),
-    ("capital_words_per_word", "n_capital_words", "n_words", None, 500),
-    ("repeated_lines_per_line", "n_dup_lines", "n_lines", None, 400),
+#: Letters of these languages, as a set of a pattern.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿŒœẞ"
+
+OTHER_LETTER = rf"[\p{{L}}&&[^{LETTERS}]]"
+
+#: Where a rule applies: texts with at most so many per 1000 (numerator, denominator, most).
+LISTED_LANGUAGE = ("n_other_letters", "word_chars", 20)
+
+#: (rule, numerator, denominator, least, most, where): bounds are per 1000 of the denominator; None leaves a side open,
+#: or the rule applies to all texts. Stop words are asked of texts that are written in the listed languages' letters.
+RULES: list[tuple[str, str, str, int | None, int | None, tuple[str, str, int] | None]] = [
+    ("mean_word_length", "word_chars", "n_words", 2_000, 12_000, None),
+    ("symbols_per_word", "n_symbols", "n_words", None, 300, None),
+    ("stop_words_per_word", "n_stop_words", "n_words", 20, None, LISTED_LANGUAGE),
+    ("capital_words_per_word", "n_capital_words", "n_words", None, 500, None),
+    ("repeated_lines_per_line", "n_dup_lines", "n_lines", None, 400, None),
 ]
 
 
@@ -84,6 +93,7 @@ def measures(text: Column) -> Column:
             F.size(lines).cast("long").alias("n_lines"),
             F.size(F.filter(words, lambda w: plain(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
             F.size(F.filter(words, lambda w: w.rlike(UPPER) & ~w.rlike(LOWER))).cast("long").alias("n_capital_words"),
+            (F.length(text) - F.length(F.regexp_replace(text, OTHER_LETTER, ""))).cast("long").alias("n_other_letters"),
         )
 
     def split(text: Column) -> Column:
@@ -95,13 +105,14 @@ def measures(text: Column) -> Column:
 
 
 def verdict(measure: Callable[[str], Column], rules: list = RULES) -> Column:
-    """Whether every rule of the table holds."""
+    """Whether every rule of the table holds where it applies."""
     holds = F.lit(True)
-    for _, above, below, least, most in rules:
+    for _, above, below, least, most, where in rules:
+        elsewhere = measure(where[0]) * 1000 > measure(where[1]) * where[2] if where else F.lit(False)
         if least is not None:
-            holds = holds & (measure(above) * 1000 >= measure(below) * least)
+            holds = holds & (elsewhere | (measure(above) * 1000 >= measure(below) * least))
         if most is not None:
-            holds = holds & (measure(above) * 1000 <= measure(below) * most)
+            holds = holds & (elsewhere | (measure(above) * 1000 <= measure(below) * most))
     return holds
 
 
@@ -109,22 +120,24 @@ def quality_rules(docs: DataFrame, rules: list = RULES, id_col: str = "doc_id",
     """Measures and verdict of every whole text, one row per input row, without user functions or a shuffle.
 
     Columns: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and kept, then the
-    further measures n_lines, n_stop_words and n_capital_words. Null and empty texts have no words and fail; null
+    further measures n_lines, n_stop_words, n_capital_words and n_other_letters. Stop words are not asked of texts in
+    other letters than those of the listed languages (more than 2% of the characters: Cyrillic, Greek, Polish). Null and empty texts have no words and fail; null
     and repeated ids stay rows of their own; other columns are not read, so their names can't clash.
     """
     measured = docs.select(F.col(id_col), measures(F.coalesce(F.col(text_col), F.lit(""))).alias("m"))
     m = lambda name: F.col(f"m.{name}")
     failed = (m("n_words") < MIN_WORDS) | (m("n_repeat_words") * 100 > m("n_words") * MAX_REPEATED_PERCENT)
     base = [m(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    more = [m(x) for x in ("n_lines", "n_stop_words", "n_capital_words")]
+    more = [m(x) for x in ("n_lines", "n_stop_words", "n_capital_words", "n_other_letters")]
     return measured.select(id_col, *base, failed.alias("base_failed"), (~failed & verdict(m, rules)).alias("kept"), *more)
 
 
 def _rules_sql(rules: list) -> str:
     parts = []
-    for _, above, below, least, most in rules:
-        parts += [f"{above} * 1000 >= {below} * {least}"] if least is not None else []
-        parts += [f"{above} * 1000 <= {below} * {most}"] if most is not None else []
+    for _, above, below, least, most, where in rules:
+        elsewhere = f"{where[0]} * 1000 > {where[1]} * {where[2]}" if where else "false"
+        parts += [f"({elsewhere} OR {above} * 1000 >= {below} * {least})"] if least is not None else []
+        parts += [f"({elsewhere} OR {above} * 1000 <= {below} * {most})"] if most is not None else []
     return " AND ".join(parts)
 
 
@@ -143,7 +156,8 @@ m AS (SELECT t.doc_id, len(w)::BIGINT AS n_words, length(list_aggregate(w, 'stri
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
     len(l)::BIGINT AS n_lines,
     len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]+$', '')) IN ({", ".join(f"'{x}'" for x in STOP_WORDS)})))::BIGINT AS n_stop_words,
-    len(list_filter(w, lambda x: regexp_matches(x, '\\p{{Lu}}') AND NOT regexp_matches(x, '\\p{{Ll}}')))::BIGINT AS n_capital_words
+    len(list_filter(w, lambda x: regexp_matches(x, '\\p{{Lu}}') AND NOT regexp_matches(x, '\\p{{Ll}}')))::BIGINT AS n_capital_words,
+    length(regexp_replace(text, '[^\\p{{L}}]|[{LETTERS}]', '', 'g'))::BIGINT AS n_other_letters
   FROM t LEFT JOIN c ON c.doc_id = t.doc_id),
 f AS (SELECT * EXCLUDE (wc), coalesce(wc, 0)::BIGINT AS word_chars,
     (n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEATED_PERCENT}) AS base_failed FROM m)

@@ -231,6 +231,22 @@ def test_queries_equal_their_oracles(spark, name):
     assert helpers.rows(frame) == sorted(expected, key=str)
 
 
+def test_stop_words_are_asked_of_listed_languages_only(spark):
+    """Clean texts in other letters are kept; lists of words in the listed languages' letters are not."""
+    russian = "Вчера вечером мы долго гуляли вдоль реки и говорили о книгах, которые прочитали за последний год. "
+    polish = "Wczoraj wieczorem długo spacerowaliśmy wzdłuż rzeki i rozmawialiśmy o książkach, które przeczytaliśmy w zeszłym roku. "
+    english = "Yesterday we walked along the river for a long time and talked about the books that we read this year. "
+    tail = [f" {i}{c}x" for c in "qz" for i in range(60)]
+    mixed = lambda text: " ".join(w + x for w, x in zip((text * 9).split(), tail))
+    listed = " ".join(f"cheap{i} watch{i}" for i in range(60))
+    texts = [mixed(russian), mixed(polish), mixed(english), listed, listed + " Ω", listed + " я" * 30, "Привет"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in quality.quality_rules(frame).collect()}
+    assert [found[i].kept for i in range(7)] == [True, True, True, False, False, True, False]
+    for i, text in enumerate(texts):
+        assert found[i].n_other_letters == sum(c.isalpha() and ord(c) > 255 for c in text)
+
+
 def test_quality_edges(spark):
     found = quality.quality_rules(helpers.edges(spark))
     assert helpers.rows(found, "doc_id") == sorted(((i,) for i, *_ in helpers.EDGES), key=str)
