@@ -30,10 +30,8 @@ STOP_WORDS = sorted(set(
     "el los las del se por para con no una su al lo como y".split()
 ))
 
-#: Letters of these languages, as a set of a pattern.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿŒœẞ"
-
-OTHER_LETTER = rf"[\p{{L}}&&[^{LETTERS}]]"
+#: Characters up to U+00FF, which these languages write with, their few letters beyond, and all that is no letter.
+LATIN, NOT_OTHER = r"[\x00-\xFF]+", r"[^\p{L}]|[ŒœẞŸ]"
 
 #: Where a rule applies: texts with at most so many per 1000 (numerator, denominator, most).
 LISTED_LANGUAGE = ("n_other_letters", "word_chars", 20)
@@ -93,7 +91,7 @@ def measures(text: Column) -> Column:
             F.size(lines).cast("long").alias("n_lines"),
             F.size(F.filter(words, lambda w: plain(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
             F.size(F.filter(words, lambda w: w.rlike(UPPER) & ~w.rlike(LOWER))).cast("long").alias("n_capital_words"),
-            (F.length(text) - F.length(F.regexp_replace(text, OTHER_LETTER, ""))).cast("long").alias("n_other_letters"),
+            F.length(F.regexp_replace(F.regexp_replace(text, LATIN, ""), NOT_OTHER, "")).cast("long").alias("n_other_letters"),
         )
 
     def split(text: Column) -> Column:
@@ -157,7 +155,7 @@ m AS (SELECT t.doc_id, len(w)::BIGINT AS n_words, length(list_aggregate(w, 'stri
     len(l)::BIGINT AS n_lines,
     len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]+$', '')) IN ({", ".join(f"'{x}'" for x in STOP_WORDS)})))::BIGINT AS n_stop_words,
     len(list_filter(w, lambda x: regexp_matches(x, '\\p{{Lu}}') AND NOT regexp_matches(x, '\\p{{Ll}}')))::BIGINT AS n_capital_words,
-    length(regexp_replace(text, '[^\\p{{L}}]|[{LETTERS}]', '', 'g'))::BIGINT AS n_other_letters
+    length(regexp_replace(text, '[\\x00-\\x{{FF}}]|{NOT_OTHER}', '', 'g'))::BIGINT AS n_other_letters
   FROM t LEFT JOIN c ON c.doc_id = t.doc_id),
 f AS (SELECT * EXCLUDE (wc), coalesce(wc, 0)::BIGINT AS word_chars,
     (n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEATED_PERCENT}) AS base_failed FROM m)
