@@ -381,9 +381,9 @@ def sales_sorted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     the range of the one before."""
     table = f"{scratch_database(spark)}.sales_sorted"
     save_sorted(sales(spark, sf_dir), table, ["sale_date"], writers=12)
-    files = read_table(spark, table).groupBy("_metadata.file_path").agg(
-        F.count("*").alias("rows"), F.min("sale_date").alias("first"), F.max("sale_date").alias("last")
-    )
+    # rows are counted by day first: the least and greatest of a text, asked of the rows, would sort a task's rows by file
+    days = read_table(spark, table).groupBy(F.col("_metadata.file_path").alias("file_path"), "sale_date").agg(F.count("*").alias("rows"))
+    files = days.groupBy("file_path").agg(F.sum("rows").alias("rows"), F.min("sale_date").alias("first"), F.max("sale_date").alias("last"))
     before = F.lag("last").over(Window.orderBy("first", "last"))
     return files.withColumn("back", before > F.col("first")).agg(
         F.sum("rows").alias("rows"), (F.count("*") > 1).alias("several_files"), F.coalesce(F.bool_or("back"), F.lit(False)).alias("overlap")

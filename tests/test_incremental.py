@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import salesflow.plans.incremental_etl as incremental
 import salesflow.plans.ledger as ledger
 import salesflow.plans.publish as publish
+from salesflow import queries
 from salesflow.operators import (
     StepCounts,
     compact_table,
@@ -361,6 +362,38 @@ def test_sorted_files_hold_ranges_that_a_filter_can_skip(spark):
         assert largest < 6_000  # the hot key is cut
 
 
+def test_sorted_files_grow_in_number_not_in_size(spark):
+    database = scratch_database(spark)
+    for n in (4_000, 32_000):
+        rows = spark.range(n).select(
+            (F.col("id") % 977).alias("k"), F.repeat(F.lit("x"), 200).alias("t"), F.array(F.lit("y" * 100)).alias("a"),
+            F.when(F.col("id") % 2 == 0, F.lit("z")).alias("n"), F.lit(b"b").alias("b"), "id",
+        )
+        save_sorted(rows, f"{database}.sorted_{n}", ["k"], writers=2, target_bytes=400_000)
+        saved = spark.table(f"{database}.sorted_{n}")
+        assert sorted(saved.select("k", "t", "a", "n", "b", "id").collect(), key=lambda r: r.id) == sorted(rows.collect(), key=lambda r: r.id)
+        files = [r.rows for r in file_listing(saved, ()).collect()]
+        assert n // 1_500 <= len(files) <= n // 500 and max(files) < 2_000
+    save_sorted(rows.where("id < 0"), f"{database}.empty", ["k"], writers=2)
+    assert spark.table(f"{database}.empty").count() == 0
+
+
+def test_sorted_table_is_checked_without_a_sort_of_its_rows(spark, tmp_path):
+    """A sort between the scan and the first exchange holds a scan task's rows."""
+    day = F.when(F.col("id") % 50 != 7, F.date_add(F.lit("1995-01-01").cast("date"), F.pmod("id", F.lit(300)).cast("int")))
+    spark.range(3_000).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 10).alias("l_partkey"), F.lit(1.5).alias("l_extendedprice"), day.alias("l_shipdate")
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(10).selectExpr("id AS p_partkey", "concat('part ', id) AS p_name", "'STEEL' AS p_type").write.parquet(f"{tmp_path}/part.parquet")
+    query = queries.sales_sorted_table(spark, str(tmp_path))
+    assert [tuple(r) for r in query.collect()] == [(3_000, True, False)]
+    plan = query._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = max(i for i, line in enumerate(plan) if "FileScan" in line)
+    exchange = max(i for i, line in enumerate(plan[:scan]) if "Exchange" in line)
+    between = plan[exchange + 1 : scan]
+    assert any("HashAggregate" in line for line in between) and not any("Sort" in line for line in between)
+
+
 def test_compaction_keeps_rows_and_leaves_large_partitions(spark):
     table = f"{scratch_database(spark)}.small"
     rows = spark.range(6000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"), F.when(F.col("id") % 3 != 0, F.col("id") % 3).alias("p"))
